@@ -6,21 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, token_counts, token_file, topk
+from . import decontam, licenses, mixing, quality, surrogates, token_counts, token_file, topk
 from .common import read
 
 
+#: A deployment passes its own secret; the queries need the same one in every run.
+SURROGATE_KEY = b"corpusmill test key"
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymize(read(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
@@ -34,7 +54,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_topk_search, op6_token_counts, op8_token_file, op9_quality)}
+    return {f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_mixing, op4_surrogates, op5_decontamination, op6_token_counts, op8_token_file, op9_quality)}
 
 
 OP2_SQL = """
