@@ -6,8 +6,8 @@ rates among them). It gives each document a posterior over the domains.
 
 Rates r >= 0 are then fitted by projected gradient descent: with t tokens and posteriors p, the expected
 tokens of domain k are S_k = sum(r * t * p_k), and the least squares problem is
-minimise sum_k (S_k - T_k)^2 / T_k. In the metric of t a step moves a document's rate by
--eta * sum_k p_k (S_k - T_k) / T_k, then clips it at 0; eta is 1 over the largest eigenvalue of a matrix with a
+minimise sum_k (S_k - T_k)^2 / w_k, where w_k = sum(t * p_k^2) evens out the domains' curvatures. In the
+metric of t a step moves a document's rate by -eta * sum_k p_k (S_k - T_k) / w_k, then clips it at 0; eta is 1 over the largest eigenvalue of a matrix with a
 row for each domain. Each step is one aggregation of a narrow table that holds a row for each document; only
 domain totals come to the driver.
 
@@ -22,7 +22,6 @@ equal; repeated rows count each; a null doc_id is kept.
 from __future__ import annotations
 
 import math
-import re
 from functools import reduce
 
 import numpy as np
@@ -34,7 +33,19 @@ from .common import whole_text, written
 DOMAINS = ("clean", "low", "toxic")
 #: Shares of the tokens.
 TARGETS = {"clean": 0.88, "low": 0.04, "toxic": 0.08}
-_SPLIT = r"\s+"
+_MARK, _CAPITAL = r"[!-/:-@\[-`{-~]", "[A-ZÀ-ÖØ-Þ]"
+
+
+def measured(docs: DataFrame, *more: str) -> DataFrame:
+    """The columns in more, and the texts' words (lower-cased, without ASCII punctuation) and shares of signs.
+
+    A token is what stands between single spaces, tabs or line feeds.
+    """
+    texts = docs.select(*more, whole_text().alias("text"))
+    bare = texts.select(*more, "text", F.regexp_replace(F.lower("text"), _MARK, "").alias("bare"))
+    chars = F.greatest(F.length("text"), F.lit(1)).cast("double")
+    words = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split(F.replace(F.replace("bare", F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" ")), " "))
+    return bare.select(*more, words.alias("words"), F.sqrt(F.regexp_count("text", F.lit(_CAPITAL)) / chars).alias("capital"), F.sqrt((F.length("text") - F.length("bare")) / chars).alias("mark"))
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
@@ -46,7 +57,7 @@ def domains_of(labels: DataFrame) -> DataFrame:
 
 def lexicons(sample: DataFrame, terms: int) -> list[list[str]]:
     """Per domain the words whose presence has the highest log-odds, weighted by how sure they are."""
-    words = sample.select("domain", F.explode(F.array_distinct(F.split(F.lower("text"), _SPLIT))).alias("word")).where(F.col("word").rlike(r"^\p{L}{3,20}$"))
+    words = sample.select("domain", F.explode(F.array_distinct("words")).alias("word")).where(F.col("word").rlike(r"^\p{L}{3,20}$"))
     counts = words.groupBy("word").pivot("domain", list(DOMAINS)).count().fillna(0)
     sizes = {r.domain: r["count"] for r in sample.groupBy("domain").count().collect()}
     scores = []
@@ -62,15 +73,13 @@ def lexicons(sample: DataFrame, terms: int) -> list[list[str]]:
     return [sorted(r.word for r in rows if r.domain == d) for d in DOMAINS]
 
 
-def features(text: Column, lexicon: list[list[str]]) -> tuple[Column, list[Column]]:
-    """Token count, and the features, of a text without nulls."""
-    tokens = F.regexp_count(text, F.lit(r"\S+"))
-    each = F.greatest(tokens, F.lit(1)).cast("double")
-    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    found = [F.regexp_count(F.lower(text), F.lit(r"\b(?:" + "|".join(map(re.escape, words)) + r")\b")) if words else F.lit(0) for words in lexicon]
-    capital, mark = (F.regexp_count(text, F.lit(p)) for p in (r"\p{Lu}", r"[^\p{L}\p{N}\s]"))
-    different = F.size(F.array_distinct(F.split(text, " ")))
-    return tokens.cast("bigint"), [*(F.log1p(100 * f / each) for f in found), F.sqrt(capital / chars), F.sqrt(mark / chars), F.log(different / each + 0.01)]
+def features(rows: DataFrame, lexicon: list[list[str]], *more: str) -> tuple[DataFrame, list[str]]:
+    """The columns in more, n_tokens and the features of measured rows; and the features' names."""
+    distinct = rows.select(*more, F.size("words").cast("bigint").alias("n_tokens"), F.array_distinct("words").alias("own"), "capital", "mark")
+    found = [F.log1p(F.size(F.array_intersect("own", F.array(*map(F.lit, w)))).cast("double")) if w else F.lit(0.0) for w in lexicon]
+    different = F.log(F.size("own") / F.greatest("n_tokens", F.lit(1)) + 0.01)
+    names = [f"x{i}" for i in range(len(lexicon) + 3)]
+    return distinct.select(*more, "n_tokens", *(c.alias(n) for c, n in zip([*found, F.col("capital"), F.col("mark"), different], names, strict=True))), names
 
 
 def posterior(x: list[str], rows: dict[str, dict]) -> Column:
@@ -98,15 +107,14 @@ def soft_members(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, te
     """doc_id, n_tokens and p (the posterior over DOMAINS) of every row, written to the shared folder."""
     named = domains_of(labels)
     chosen = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    sample = written(texts.join(F.broadcast(chosen), "doc_id"), "sample")
+    # The row's own text has to be there to be measured; what is sampled is a bounded number of labelled ids.
+    sample = written(measured(docs.join(F.broadcast(chosen), "doc_id"), "domain"), "sample")
     lexicon = lexicons(sample, terms)
-    tokens, x = features(F.col("text"), lexicon)
-    names = [f"x{i}" for i in range(len(x))]
-    stats = sample.select("domain", *(c.alias(n) for c, n in zip(x, names, strict=True))).groupBy("domain").agg(F.count("*").alias("n"), *(f(n).alias(f"{k}_{n}") for n in names for f, k in ((F.avg, "m"), (F.var_pop, "v"))))
+    shown, names = features(sample, lexicon, "domain")
+    stats = shown.groupBy("domain").agg(F.count("*").alias("n"), *(f(n).alias(f"{k}_{n}") for n in names for f, k in ((F.avg, "m"), (F.var_pop, "v"))))
     rows = {r.domain: r.asDict() for r in stats.collect()}
-    measured = texts.select("doc_id", tokens.alias("n_tokens"), *(c.alias(n) for c, n in zip(x, names, strict=True)))
-    logs = measured.select("doc_id", "n_tokens", posterior(names, rows).alias("g"))
+    every, _ = features(measured(docs, "doc_id"), lexicon, "doc_id")
+    logs = every.select("doc_id", "n_tokens", posterior(names, rows).alias("g"))
     if rows:
         odds = logs.select("doc_id", "n_tokens", F.transform("g", lambda v: F.exp(v - F.array_max("g"))).alias("e"))
         logs = odds.select("doc_id", "n_tokens", F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("g"))
@@ -130,14 +138,14 @@ def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False,
     target = share * budget
     if not now.sum():
         return F.lit(1.0), target, now
-    scale = np.maximum(target, 1e-3 * budget)
     gram = np.zeros((n, n))
     for k, m in pairs:
         gram[k, m] = gram[m, k] = first[f"g{k}{m}"] or 0.0
+    scale = np.maximum(np.diag(gram), 1e-3 * now.sum())
     eta = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
     rate, reached = F.lit(1.0), now
     for _ in range(steps):
-        if (np.abs(reached - target) <= tolerance * scale).all():
+        if (np.abs(reached - target) <= tolerance * np.maximum(target, 1e-2 * budget)).all():
             break
         move = eta * (reached - target) / scale
         rate = F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [p[k] * float(move[k]) for k in range(n)]))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses, mixing, quality, surrogates, token_counts, token_file, topk
+from . import decontam, jaccard, licenses, mixing, quality, surrogates, token_counts, token_file, topk
 from .common import read
 
 
@@ -45,6 +46,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"), k=4, threshold=Fraction(85, 100))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_file(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
@@ -54,7 +59,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_mixing, op4_surrogates, op5_decontamination, op6_token_counts, op8_token_file, op9_quality)}
+    return {f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_mixing, op4_surrogates, op5_decontamination, op6_token_counts, op7_jaccard_join, op8_token_file, op9_quality)}
 
 
 OP2_SQL = """
@@ -69,5 +74,23 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w
+), n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e AS a JOIN e AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS v, doc_id AS u FROM n UNION SELECT r.v, sym.b FROM r JOIN sym ON r.u = sym.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.u) AS component_id FROM n JOIN r ON r.v = n.doc_id GROUP BY 1, 2
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk_search": OP2_SQL}
+    return {"op2_topk_search": OP2_SQL, "op7_jaccard_join": OP7_SQL}
