@@ -14,7 +14,8 @@ sets of a and b >= a members allows at most a * (1 - t) / t differences.
    Sampled documents can't be the pivots of this step: nearly all pairs of documents share nothing, so
    all distances from such pivots are 1 and every window would hold every point.
 2. Regions join recursively. In each region the point that stands in the most regions becomes its pivot
-   document; the others are tested against it, and what links becomes one component. Regions that still
+   document; the others are tested against it, and what links becomes one component. In regions that still
+   hold several, points of the largest become pivots for the points outside it, twice. Regions that then
    hold several components are cut into blocks of about `BLOCK` points, each pair of blocks a sub-region,
    where pairs of different components are tested, unless the triangle inequality over counts by coarse
    cells (or over sizes) rules a link out. So every pair of a region is tested, ruled out or already
@@ -45,6 +46,8 @@ COARSE = 32
 BLOCK = 128
 #: Sets of up to so many shingles take single shingles as pivots.
 FEW = 40
+#: Turns with pivots of the largest component, and pivots a turn.
+TURNS, PIVOTS = 2, 4
 
 
 class Windows:
@@ -275,13 +278,31 @@ def _join_regions(regions: DataFrame, coarse: DataFrame, sets: DataFrame, thresh
     labels = written(weights.select("point", F.col("point").alias("label"), "weight"), "points")
     first = regions.join(labels, "point").groupBy("region").agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a"))
     pairs = regions.select("region", F.col("point").alias("b")).join(written(first, "pivots"), "region").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    known = labels.select("point", "weight")
     labels = _merged(labels.select("point", "label"), written(_linked(pairs, sets, threshold), "links"))
-    rows = regions.join(labels, "point")
-    several = written(rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("region", "n"), "several")
-    rows = rows.join(several, "region").join(coarse, "point")
+    for turn in range(TURNS):
+        rows = _unsettled(regions, labels)
+        # The pivots now are points of the region's largest component, one in each of a few slots.
+        masses = written(labels.groupBy("label").agg(F.count("*").alias("mass")), "masses")
+        rows = written(rows.join(masses, "label").join(known, "point"), "rows")
+        main = written(rows.groupBy("region").agg(F.max(F.struct("mass", "label")).alias("m")).select("region", F.col("m.label").alias("main")), "main")
+        rows = rows.join(main, "region")
+        slot = F.pmod(F.xxhash64("point", F.lit(turn)), F.lit(PIVOTS))
+        pivots = written(rows.where("label = main").groupBy("region", slot.alias("slot")).agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a")), "pivots")
+        tests = rows.where("label <> main").select("region", F.col("point").alias("b")).join(pivots, "region")
+        tests = tests.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        labels = _merged(labels, written(_linked(tests, sets, threshold), "links"))
+    rows = _unsettled(regions, labels).join(coarse, "point")
     return _merged(labels, written(_linked(_across(rows, threshold), sets, threshold), "links"))
 
 
+def _unsettled(regions: DataFrame, labels: DataFrame) -> DataFrame:
+    """region, n (its points), point and label of the regions that hold several labels."""
+    rows = regions.join(labels, "point")
+    several = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("region", "n")
+    return rows.join(written(several, "several"), "region")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     points = written(_points(docs, k), "documents")
