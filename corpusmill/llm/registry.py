@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, licenses, mixing, quality, surrogates, token_counts, token_file, topk
+from . import decontam, jaccard, licenses, mixing, quality, repeats, surrogates, token_counts, token_file, topk
 from .common import read
 
 
@@ -58,8 +58,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"), length=200)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_mixing, op4_surrogates, op5_decontamination, op6_token_counts, op7_jaccard_join, op8_token_file, op9_quality)}
+    return {f.__name__: f for f in (op1_license_scan, op2_topk_search, op3_mixing, op4_surrogates, op5_decontamination, op6_token_counts, op7_jaccard_join, op8_token_file, op9_quality, op10_repeated_strings)}
 
 
 OP2_SQL = """
