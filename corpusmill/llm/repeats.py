@@ -179,17 +179,18 @@ def _strings(docs: DataFrame, own: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(cut, "bucket bigint, part int, hot boolean, digest binary, first int, bytes binary")
 
 
-def _runs(keys: np.ndarray, at: np.ndarray, length: int) -> pa.RecordBatch:
-    """Covered stretches from repeated string starts."""
+def _runs(keys: np.ndarray, at: np.ndarray, length: int, digests: np.ndarray | None = None) -> pa.RecordBatch:
+    """Covered stretches from repeated string starts; keys are digests or places among digests."""
     order = np.lexsort((at, keys))
     keys, at = keys[order], at[order]
     new = np.ones(len(at), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (at[1:] > at[:-1] + 1)
     start = np.flatnonzero(new)
     stop = np.append(start[1:], len(at)) - 1
-    n = len(start)
+    n, at = len(start), at.astype(np.int64)
+    names = keys[start] if digests is None else digests[keys[start]]
     return pa.RecordBatch.from_arrays(
-        [pa.array([k.ljust(16, b"\0") for k in keys[start].tolist()], pa.binary()), pa.array(at[start].astype(np.int32)), pa.array((at[stop] + length).astype(np.int32)), pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 3],
+        [pa.array([k.ljust(16, b"\0") for k in names.tolist()], pa.binary()), pa.array(at[start].astype(np.int32)), pa.array((at[stop] + length).astype(np.int32)), pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 3],
         names=["digest", "start", "stop", "bucket", "ids", "keys", "at"],
     )
 
@@ -210,8 +211,10 @@ def _refine_parts(strings: DataFrame, length: int, buckets: int) -> DataFrame:
         rows = [(d, f, h, b) for batch in batches for d, f, h, b in zip(*(batch.column(c).to_pylist() for c in ("digest", "first", "hot", "bytes")), strict=True)]
         if not rows:
             return
+        digests, number = np.unique(np.array([r[0] for r in rows], "S16"), return_inverse=True)
+        number = number.astype(np.int32)
         out: list[list[np.ndarray]] = [[], [], [], []]
-        step = 4000
+        step = 2000
         for i in range(0, len(rows), step):
             some = rows[i : i + step]
             sizes = np.array([len(r[3]) for r in some])
@@ -219,19 +222,20 @@ def _refine_parts(strings: DataFrame, length: int, buckets: int) -> DataFrame:
             base, count = np.cumsum(sizes) - sizes, sizes - length + 1
             row = np.repeat(np.arange(len(some)), count)
             offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            for k, x in enumerate((ids[base[row] + offset], np.array([r[0] for r in some], "S16")[row], np.array([r[1] for r in some])[row] + offset, np.array([r[2] for r in some])[row])):
+            for k, x in enumerate((ids[base[row] + offset], number[i : i + step][row], (np.array([r[1] for r in some])[row] + offset).astype(np.int32), np.array([r[2] for r in some])[row])):
                 out[k].append(x)
+        del rows
         ids, keys, at, hot = _distinct(*(np.concatenate(x) for x in out))
         same = np.zeros(len(ids), bool)
         same[1:] = ids[1:] == ids[:-1]
         repeated = same.copy()
         repeated[:-1] |= same[1:]
         if repeated.any():
-            yield _runs(keys[repeated], at[repeated], length)
+            yield _runs(keys[repeated], at[repeated], length, digests)
         # Of a split bucket one string of each kind goes on: it may be unique here only.
         go = hot & ~same
         if go.any():
-            ids, keys, at = ids[go], keys[go], at[go]
+            ids, keys, at = ids[go], digests[keys[go]], at[go]
             bucket = (ids >> np.uint64(33)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             used, start = np.unique(bucket[order], return_index=True)
@@ -253,7 +257,7 @@ def _across_parts(rows: DataFrame, length: int, buckets: int) -> DataFrame:
         same[1:] = ids[1:] == ids[:-1]
         same[:-1] |= same[1:]
         if same.any():
-            yield _runs(keys[same], at[same].astype(np.int64), length)
+            yield _runs(keys[same], at[same], length)
 
     return rows.where("bucket is not null").repartition(buckets, "bucket").mapInArrow(meet, _PARTS)
 
@@ -269,7 +273,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     parts = partitions_for(total / 2, 8 << 20, 12)
     alive = written(_anchor_buckets(keyed.select("digest", "text"), length, parts), "anchors")
     own = alive.groupBy("digest").agg(F.collect_list(F.struct("at", "size")).alias("anchors")).join(classes.select("digest", "doc_id"), "digest")
-    found = written(_refine_parts(_strings(docs, own, length), length, parts), "strings")
+    found = written(_refine_parts(_strings(docs, own, length), length, 4 * parts), "strings")
     covered = found.where("bucket is null").select("digest", "start", "stop").unionByName(_across_parts(found, length, parts).select("digest", "start", "stop"))
     spans = covered.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     facts = written(classes.join(spans, "digest", "left").select("digest", (F.col("copies") > 1).alias("copied"), "spans").where("copied or spans is not null"), "facts")
