@@ -109,8 +109,10 @@ def _author(value) -> str:
     return str(value or "")
 
 
-def extract(html: str | None) -> dict:
+def extract(html: str | None, url: str = "") -> dict:
+    """Article fields and absolute links of a page."""
     page = Page(html or "")
+    base = resolve(url, page.base or "")
     articles = page.articles()
     first = lambda *xs: next((_clean(str(x)) for x in xs if x and _clean(str(x))), None)
     paragraphs = [_clean("".join(t)) for is_p, t in page.blocks if is_p]
@@ -125,7 +127,7 @@ def extract(html: str | None) -> dict:
         "modified": first(*(a.get("dateModified") or a.get("dateUpdated") for a in articles), *(page.metas.get(m) for m in MODIFIED_METAS)),
         "canonical": page.canonical,
         "body": body,
-        "links": [{"href": h, "text": _clean(t)[:500], "rel": _clean(r)[:200], "base": page.base} for h, t, r in page.links],
+        "links": [{"href": resolve(base, h), "text": _clean(t)[:500], "rel": _clean(r)[:200], "base": page.base} for h, t, r in page.links],
     }
 
 
@@ -138,11 +140,16 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [extract(h) for h in batch.column("html").to_pylist()]
+            urls = batch.column("url").to_pylist()
+            rows = [extract(h, u or "") for h, u in zip(batch.column("html").to_pylist(), urls, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *(pa.array([r[f] for r in rows], pa.string()) for f in _FIELDS), pa.array([r["links"] for r in rows], pa.list_(_LINK))], names=["page_id", "url", *_FIELDS, "links"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, " + ", ".join(f"{f} string" for f in _FIELDS) + ", links array<struct<href string, text string, rel string, base string>>")
 
 
 def resolve(base: str, href: str) -> str:
-    return urljoin(base, href)
+    """href against base; what can't be parsed stays as it is."""
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return href
