@@ -11,7 +11,7 @@ from corpusmill.llm.common import read, written
 from corpusmill.llm.registry import tokenizer_path
 
 #: Shares of the tokens that the mixed corpus aims at.
-WEIGHTS = {"clean": 0.87, "low": 0.03, "toxic": 0.10}
+WEIGHTS = {"clean": 0.78, "low": 0.10, "toxic": 0.12}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
