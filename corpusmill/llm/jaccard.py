@@ -142,7 +142,7 @@ def _shared_regions(docs: DataFrame, k: int, windows: Windows, buckets: int) ->
             sets = shingle_sets(batch.column("text").to_pylist(), k)
             held.append(windows.regions(sets, np.array([set_digest(s)[0] for s in sets], np.int64)))
             filled += len(held[-1][0])
-            if filled >= 2_000_000:
+            if filled >= 600_000:
                 yield flush()
                 held, filled = [], 0
         if filled:
@@ -201,7 +201,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     top, bottom = threshold.numerator, threshold.denominator
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, "x", 2 << 20):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
