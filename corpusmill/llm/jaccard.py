@@ -14,7 +14,7 @@ sets of a and b >= a members allows at most a * (1 - t) / t differences.
    Sampled documents can't be the pivots of this step: nearly all pairs of documents share nothing, so
    all distances from such pivots are 1 and every window would hold every point.
 2. Regions join recursively. In each region the point that stands in the most regions becomes its pivot
-   document; the others are tested against it, and what links becomes one component. In regions that still
+   document; the others are tested against it, unless the triangle inequality rules a link out, and what links becomes one component. In regions that still
    hold several, points of the largest become pivots for the points outside it, twice. Regions that then
    hold several components are cut into blocks of about `BLOCK` points, each pair of blocks a sub-region,
    where pairs of different components are tested, unless the triangle inequality over counts by coarse
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import partitions_for, text_slices, whole_text, written
 from .shingles import mixed, set_digest, shingle_sets
 
-COARSE = 32
+COARSE = 256
 BLOCK = 128
 #: Sets of up to so many shingles take single shingles as pivots.
 FEW = 40
@@ -181,7 +181,7 @@ def _shared_regions(docs: DataFrame, k: int, windows: Windows, buckets: int) ->
 
 
 def _counts(members: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((mixed(members, 31) % np.uint64(COARSE)).astype(np.int64), minlength=COARSE), 65535).astype("<u2")
+    return np.minimum(np.bincount((mixed(members, 31) % np.uint64(COARSE)).astype(np.int64), minlength=COARSE), 255).astype(np.uint8)
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
@@ -214,6 +214,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(link, "a bigint, b bigint")
 
 
+def _near(pairs: DataFrame, coarse: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) of points that the triangle inequality over coarse counts, and sizes, don't rule out."""
+    top, bottom = threshold.numerator, threshold.denominator
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "x", 1 << 20):
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COARSE).astype(np.int16) for c in ("x", "y"))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+            keep = (apart * (top + bottom) <= (n + m) * (bottom - top)) & (bottom * np.minimum(n, m) >= top * np.maximum(n, m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    left = coarse.select(F.col("point").alias("a"), F.col("coarse").alias("x"), F.col("n_shingles").alias("n"))
+    right = coarse.select(F.col("point").alias("b"), F.col("coarse").alias("y"), F.col("n_shingles").alias("m"))
+    return written(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y", "n", "m").mapInArrow(test, "a bigint, b bigint"), "near")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and label (the smallest node it is connected to) of the edges' ends a and b, by passing labels
     and jumping pointers."""
@@ -258,9 +275,9 @@ def _across(rows: DataFrame, threshold: Fraction) -> DataFrame:
         for (_, i, j), rest in groups.items():
             own, point, label, size, coarse = zip(*rest, strict=True)
             own, point, label, size = (np.array(x, np.int64) for x in (own, point, label, size))
-            counts = np.frombuffer(b"".join(coarse), "<u2").reshape(-1, COARSE).astype(np.int32)
+            counts = np.frombuffer(b"".join(coarse), np.uint8).reshape(-1, COARSE).astype(np.int16)
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            near = np.abs(counts[left][:, None, :] - counts[right][None, :, :]).sum(axis=2)
+            near = np.stack([np.abs(c - counts[right]).sum(axis=1, dtype=np.int64) for c in counts[left]]) if len(left) else np.zeros((0, len(right)), np.int64)
             n, m = size[left][:, None], size[right][None, :]
             # at most (n + m) * (1 - t) / (1 + t) differences, and sizes within t of each other
             possible = (near * (top + bottom) <= (n + m) * (bottom - top)) & (bottom * np.minimum(n, m) >= top * np.maximum(n, m))
@@ -279,7 +296,7 @@ def _join_regions(regions: DataFrame, coarse: DataFrame, sets: DataFrame, thresh
     first = regions.join(labels, "point").groupBy("region").agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a"))
     pairs = regions.select("region", F.col("point").alias("b")).join(written(first, "pivots"), "region").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = labels.select("point", "weight")
-    labels = _merged(labels.select("point", "label"), written(_linked(pairs, sets, threshold), "links"))
+    labels = _merged(labels.select("point", "label"), written(_linked(_near(pairs, coarse, threshold), sets, threshold), "links"))
     for turn in range(TURNS):
         rows = _unsettled(regions, labels)
         # The pivots now are points of the region's largest component, one in each of a few slots.
@@ -291,7 +308,7 @@ def _join_regions(regions: DataFrame, coarse: DataFrame, sets: DataFrame, thresh
         pivots = written(rows.where("label = main").groupBy("region", slot.alias("slot")).agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a")), "pivots")
         tests = rows.where("label <> main").select("region", F.col("point").alias("b")).join(pivots, "region")
         tests = tests.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        labels = _merged(labels, written(_linked(tests, sets, threshold), "links"))
+        labels = _merged(labels, written(_linked(_near(tests, coarse, threshold), sets, threshold), "links"))
     rows = _unsettled(regions, labels).join(coarse, "point")
     return _merged(labels, written(_linked(_across(rows, threshold), sets, threshold), "links"))
 
