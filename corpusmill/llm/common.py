@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,11 +42,22 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def trim() -> None:
+    """Return freed memory of this process to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about `most` bytes of text, one row at least.
 
-    The temporary arrays of vectorised code then stay small however long the texts are.
+    The temporary arrays of vectorised code then stay small however long the texts are. Workers are used
+    again by later tasks, so what an earlier one has freed goes back to the system first, and again at the end.
     """
+    trim()
     for batch in batches:
         lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
         start, held = 0, 0
@@ -56,6 +68,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 <<
             held += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
+    trim()
 
 
 def partitions_for(total_bytes: float, each: int, least: int = 1) -> int:
