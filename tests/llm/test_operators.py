@@ -1,0 +1,217 @@
+import hashlib
+import random
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from corpusmill.llm import decontam, jaccard, licenses, mixing, quality, repeats, surrogates, token_counts, token_file, topk
+from corpusmill.llm.encoding import BulkEncoder, PieceEncoder
+from corpusmill.llm.registry import tokenizer_path
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def documents(spark, rows):
+    """With extra columns whose names clash with the operators' own."""
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, digest string, score int")
+
+
+EDGES = [(1, None), (2, ""), (3, "   "), (4, "Released under the MIT License."), (4, "Released under the MIT License."), (5, "mail a.b@mail.example.com " * 3), (None, "no id here"), (6, "word " * 30_000)]
+
+
+@pytest.fixture(scope="module")
+def near(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(160):
+        base = text(rng, rng.randint(1, 120))
+        if i % 3 == 0 and rows:
+            words = rows[rng.randrange(len(rows))][1].split()
+            words[rng.randrange(len(words))] = "changed"
+            base = " ".join(words)
+        rows.append((i, base))
+    return rows
+
+
+def test_tokenizers_equal_the_library():
+    from tokenizers import Tokenizer
+
+    odd = ["", " ", "it's  a\n\n'stuff' don't <|endoftext|> x", "İstanbul Σας é É ß ½", "a1234 5.6%!?", "x" * 3000, "they'll I'm l'amour 've''s"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        reference = [e.ids for e in Tokenizer.from_file(tokenizer_path(name)).encode_batch(odd, add_special_tokens=False)]
+        assert [PieceEncoder(tokenizer_path(name)).count(t) for t in odd] == list(map(len, reference))
+    ids, counts = BulkEncoder(tokenizer_path("word_bpe_49k.json")).encode(odd)
+    assert counts.tolist() == list(map(len, reference)) and ids.tolist() == sum(reference, [])
+
+
+def test_packing_round_trip():
+    rng = np.random.default_rng(1)
+    for a in ([], [7], [0, 2**32 - 1] * 300, rng.integers(0, 50_000, 5000), np.where(rng.random(3000) < 0.03, 2**31, 5)):
+        a = np.array(a, np.uint32)
+        assert (token_file.unpack(token_file.pack(a)) == a).all()
+
+
+def test_token_file_and_counts(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rows = [r for r in EDGES if r[0] != 4] + [(9, "plain text")]
+    got = {r.doc_id: r for r in token_file.token_file(documents(spark, rows), tokenizer_path("word_bpe_49k.json")).collect()}
+    tokenizer, start = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), 0
+    for doc_id, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (got[doc_id].start, got[doc_id].n_tokens, got[doc_id].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    cache = str(tmp_path / "cache")
+    byte = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    for rows in (EDGES[:4], EDGES):
+        out = token_counts.token_counts(documents(spark, rows), tokenizer_path("byte_bpe_50k.json"), cache).collect()
+        expected = Counter((i, len((t or "").encode()), len(byte.encode(t or "").ids)) for i, t in rows)
+        assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in out) == expected
+    assert spark.read.parquet(cache).count() == len({t or "" for _, t in EDGES})
+
+
+def test_licenses(spark):
+    rows = [(1, "x MIT License y mit\nLICENSE, Apache-License; general public license"), (2, None), (3, "mit. licensed"), (4, "Licensed under CC BY-NC 4.0.")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, rows)).collect()}
+    assert (got[1].n_words, got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (11, 4, 1, 8, "apache,gpl,mit")
+    assert (got[2].n_words, got[2].n_base, got[2].first_word, got[2].labels, got[2].score) == (0, 0, None, "", 0.0)
+    assert got[3].n_base == 0 and got[4].labels == "cc-by-nc" and got[4].base_labels == ""
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 0.2, (300, 16)).astype(np.float32)
+    x[5] = x[6] = x[7]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1001, [float("nan")] * 16), (1050, [None] * 16), (1100, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5, block_rows=70, query_rows=3).collect()}
+    q = np.floor(256 * x.astype(float)).astype(int)
+    for i in range(0, 300, 50):
+        best = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:5]
+        assert [got[i, k + 1] for k in range(5)] == [(j, -s) for s, j in best]
+    assert len(got) == 30
+
+
+def test_mixing_reaches_targets(spark):
+    rng = random.Random(5)
+    rows, marks = [], []
+    for i in range(240):
+        kind = i % 4
+        rows.append((i, " ".join(["junk!!"] * 40) if kind == 1 else text(rng, 50) + (" awful nasty" if kind == 2 else "")))
+        marks.append((i, int(kind != 1), int(kind == 2)))
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    out = mixing.mix(documents(spark, rows), labels, {"clean": 0.7, "low": 0.2, "toxic": 0.1}).toPandas()
+    total = out.n_tokens.sum()
+    for d, w in (("clean", 0.7), ("low", 0.2), ("toxic", 0.1)):
+        assert abs((out.rate * out.n_tokens * out[f"p_{d}"]).sum() - w * total) < 0.01 * total
+    assert (out.rate >= 0).all() and len(out) == 240
+    assert mixing.mix(documents(spark, EDGES), labels.limit(0)).count() == len(EDGES)
+
+
+def test_surrogates(spark):
+    key = b"k"
+    rows = [*EDGES, (10, "Mr. John Smith, +1 (415) 555-2671 or 415-555-2671, card 4111 1111 1111 1111, 10.2.3.4"), (11, "Mr John Smith again")]
+    got = {r.doc_id: r for r in surrogates.pseudonymize(documents(spark, rows), key).collect()}
+    assert got[1].text is None and got[3].text == "   " and got[5].n_entities == 3 and len(set(got[5].text.split()) - {"mail"}) == 1
+    new = got[10].text
+    assert "Smith" not in new and "4111 1111" not in new and "10.2.3.4" not in new and new.startswith("Mr. ")
+    assert new.split(",")[0].removeprefix("Mr. ") == got[11].text.removeprefix("Mr ").removesuffix(" again")
+    kinds = {e[2] for e in surrogates.find(new)}
+    assert kinds == {"person", "phone", "card", "ip"}
+
+
+def test_surrogates_stay_distinct(spark):
+    """Two-digit local parts leave little room, so first choices collide."""
+    rows = [(i, f"{i:02d}@a.com") for i in range(60)]
+    out = [r.text for r in surrogates.pseudonymize(documents(spark, rows), b"k").collect()]
+    assert len(set(out)) == 60
+
+
+def test_decontamination(spark):
+    rng = random.Random(8)
+    a, b = text(rng, 30), text(rng, 24)
+    w = a.split()
+    moved = " ".join(["x"] * 5 + w[20:] + ["y"] * 3 + w[:10] + ["z"] + w[10:20])
+    rows = [(1, text(rng, 50)), (2, "pre " + a + " post"), (3, moved), (4, b.upper() + "!"), (5, " ".join(w[:10])), (6, None)]
+    bench = spark.createDataFrame([(1, a), (2, b), (3, None), (4, "too short")], "item_id bigint, text string")
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id): r.n_tiles for r in decontam.contaminated(docs, bench, block_items=1).collect()}
+    assert set(got) == {(2, 1), (3, 1), (4, 2)} and got[3, 1] == 3
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()) == [1, 5, 6]
+    assert decontam.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def brute_components(rows, k, t):
+    sets = {}
+    for i, x in rows:
+        w = (x or "").split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(sets)
+    for i in ids:
+        for j in ids:
+            if i < j and sets[i] and len(sets[i] & sets[j]) >= t * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+@pytest.mark.parametrize("k, t", [(4, Fraction(85, 100)), (5, Fraction(4, 5))])
+def test_jaccard_components(spark, near, k, t):
+    rows = [*near, (500, None), (501, " "), (502, "one"), (503, "one")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(documents(spark, rows), k, t).collect()}
+    assert got == brute_components(rows, k, t)
+
+
+def test_quality(spark):
+    rng = random.Random(9)
+    rows = [(i, text(rng, 60) if i % 2 else "BUY NOW!! " * 30) for i in range(240)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(240)], "doc_id bigint, quality int")
+    out = quality.classify(documents(spark, [*rows, (999, None), (None, "")]), labels).collect()
+    right = [r.predicted == r.doc_id % 2 for r in out if r.held_out and r.doc_id < 240]
+    assert sum(right) >= 0.95 * len(right) and len(out) == 242 and all(0 <= r.score <= 1 for r in out)
+    assert quality.classify(documents(spark, rows[:5]), labels.limit(0)).where("score <> 0.5").count() == 0
+
+
+def brute_repeats(rows, n):
+    raws = [(t or "").encode() for _, t in rows]
+    seen = Counter(r[i : i + n] for r in raws for i in range(len(r) - n + 1))
+    out = {}
+    for (key, _), r in zip(rows, raws, strict=True):
+        gone = bytearray(len(r))
+        for i in range(len(r) - n + 1):
+            if seen[r[i : i + n]] > 1:
+                gone[i : i + n] = b"\1" * n
+        kept = bytes(c for c, g in zip(r, gone, strict=True) if not g)
+        out[key] = (len(r), sum(gone), sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1])), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def test_repeats(spark):
+    rng = random.Random(4)
+    shared = text(rng, 70)
+    rows = [(i, f"{text(rng, 12)} {shared} {text(rng, 30)}") for i in range(420)]
+    rows += [(1000, None), (1001, ""), (1002, "abc " * 200), (1003, "é" * 400), (1004, rows[0][1]), (1005, text(rng, 90))]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(documents(spark, rows)).collect()}
+    assert got == brute_repeats(rows, 200)
+
+
+def test_empty_tables(spark):
+    none = documents(spark, EDGES).limit(0)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert licenses.scan_licenses(none).count() == jaccard.jaccard_components(none).count() == repeats.remove_repeats(none).count() == 0
+    assert token_file.token_file(none, tokenizer_path("word_bpe_49k.json")).count() == surrogates.pseudonymize(none, b"k").count() == 0
+    assert mixing.mix(none, labels).count() == quality.classify(none, labels).count() == 0
