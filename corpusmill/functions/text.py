@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,7 +77,7 @@ def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool =
     """The first reason that rejects a normalised sentence, or 'accepted'."""
     tokens, lower = token_count(text), F.lower(text)
     alnum = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) / F.greatest(F.lit(1), F.length(text))
-    noise = reduce(lambda a, b: a | b, [lower.rlike("(?U)" + p) for p in NOISE])
+    noise = lower.rlike("(?U)" + "|".join(NOISE))
     rules = [
         (text == "", "empty"),
         ((headline if headline is not None else F.lit(False)) & F.lit(not headlines), "headline_excluded"),
@@ -100,18 +98,9 @@ def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool =
     return out
 
 
-def simhash64(c: Column) -> Column:
-    """64-bit similarity hash of the words, as a long: each bit is the majority over the words' hashes."""
-    words = F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    one = F.lit(1).cast("bigint")
-
-    def bit(b: int) -> Column:
-        votes = F.aggregate(hashes, F.lit(0), lambda a, h: a + F.when(F.shiftrightunsigned(h, b).bitwiseAND(one) == 1, 1).otherwise(-1))
-        return F.when(votes > 0, F.shiftleft(one, b)).otherwise(F.lit(0).cast("bigint"))
-
-    bits = [bit(b) for b in range(64)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def words(c: Column) -> Column:
+    """The lower-cased words of a text, in order."""
+    return F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
 
 
 def hamming(a: Column, b: Column) -> Column:

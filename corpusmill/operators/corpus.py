@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +32,9 @@ def sentence_outcomes(rows: DataFrame, **policy) -> DataFrame:
 
     A repeat within its document is a batch duplicate, a repeat of an earlier document a stored one.
     """
-    reason = T.quality_reason(T.normalize_text(F.col("sentence_text")), quote=F.col("is_quote"), **policy)
-    judged = rows.withColumn("reason", reason).withColumn("content_hash", T.content_hash(F.col("sentence_text")))
+    # The normal form is a column of its own: inlined, every rule would compute it again.
+    normal = rows.withColumn("_normal", T.normalize_text(F.col("sentence_text")))
+    judged = normal.withColumn("reason", T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), **policy)).drop("_normal").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
     good = F.col("reason") == "accepted"
     # Rejected sentences take no part in the windows, nor does their hash gather them in one partition.
     key = F.when(good, F.col("content_hash")).otherwise(F.concat_ws(":", "doc_id", "sentence_index"))
@@ -90,12 +93,27 @@ def retain_runs(runs: DataFrame, source: str, order: list, keep: int) -> DataFra
     return runs.withColumn("_n", F.row_number().over(Window.partitionBy(source).orderBy(*order))).where(F.col("_n") <= keep).drop("_n")
 
 
+def simhashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id_col and h, the 64-bit similarity hash of each row's words: each bit is the majority over the words' hashes.
+
+    A text's votes are summed in its own task before the shuffle. Rows that agree in id and text vote together,
+    which leaves the majorities as they are. A text without words has hash 0.
+    """
+    one = F.lit(1).cast("bigint")
+    words = df.select(id_col, F.xxhash64(text_col).alias("_text"), F.explode_outer(T.words(F.col(text_col))).alias("_word"))
+    hashed = words.select(id_col, "_text", F.when(F.col("_word").isNotNull(), F.xxhash64("_word")).alias("_hash"))
+    ones = [F.sum(F.shiftrightunsigned("_hash", b).bitwiseAND(one)).alias(f"_b{b}") for b in range(64)]
+    votes = hashed.groupBy(id_col, "_text").agg(F.count("_hash").alias("_n"), *ones)
+    bits = [F.when(2 * F.col(f"_b{b}") > F.col("_n"), F.shiftleft(one, b)).otherwise(F.lit(0).cast("bigint")) for b in range(64)]
+    return votes.select(id_col, reduce(lambda x, y: x.bitwiseOR(y), bits).alias("h"))
+
+
 def near_pairs(df: DataFrame, id_col: str, text_col: str, distance: int = 3) -> DataFrame:
     """Pairs of different 64-bit similarity hashes within `distance` bits, by four 16-bit bands.
 
     With up to three differing bits one band is equal. Documents that share a hash are represented by their first id.
     """
-    hashed = df.select(id_col, T.simhash64(F.col(text_col)).alias("h")).groupBy("h").agg(F.min(id_col).alias("id"))
+    hashed = simhashes(df, id_col, text_col).groupBy("h").agg(F.min(id_col).alias("id"))
     bands = hashed.select("id", "h", F.posexplode(F.array(*[F.shiftrightunsigned("h", 16 * b).bitwiseAND(F.lit(65535).cast("bigint")) for b in range(4)])).alias("band", "v"))
     left, right = bands.alias("l"), bands.alias("r")
     pairs = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.id") < F.col("r.id")))

@@ -82,9 +82,13 @@ def test_sentence_outcomes_are_first_wins(spark):
 
 def test_simhash_distances(spark):
     a, b = "ang mabilis na aso ay tumakbo sa parke kahapon ng umaga", "ang mabilis na aso ay tumakbo sa parke kahapon ng gabi"
-    rows = spark.createDataFrame([(a, b, "iba itong lahat talaga wala man lang pareho")], "a string, b string, c string")
-    r = rows.select(T.hamming(T.simhash64(F.col("a")), T.simhash64(F.col("b"))), T.hamming(T.simhash64(F.col("a")), T.simhash64(F.col("c")))).first()
-    assert r[0] < r[1]
+    texts = [(1, a), (2, b), (3, "iba itong lahat talaga wala man lang pareho"), (4, "  !"), (5, None), (6, ""), (1, a), (7, "aso Aso pusa")]
+    rows = O.simhashes(spark.createDataFrame(texts, "id int, text string"), "id", "text").collect()
+    h = {r.id: r.h & (2**64 - 1) for r in rows}
+    assert len(rows) == 7 and h[4] == h[5] == h[6] == 0
+    assert (h[1] ^ h[2]).bit_count() < (h[1] ^ h[3]).bit_count()
+    aso = spark.range(1).select(F.xxhash64(F.lit("aso"))).first()[0] & (2**64 - 1)
+    assert h[7] == aso  # two votes of three
 
 
 def test_sources():
