@@ -9,7 +9,8 @@ tokens of domain k are S_k = sum(r * t * p_k), and the least squares problem is
 minimise sum_k (S_k - T_k)^2 / w_k, where w_k = sum(t * p_k^2) evens out the domains' curvatures. In the
 metric of t a step moves a document's rate by -eta * sum_k p_k (S_k - T_k) / w_k, then clips it at 0; eta is 1 over the largest eigenvalue of a matrix with a
 row for each domain. Each step is one aggregation of a narrow table that holds a row for each document; only
-domain totals come to the driver.
+domain totals come to the driver. Moves since the rates were last stored are an array that one expression
+folds over, so the generated code is the same for every step, and the rates are stored after `fold` steps.
 
 Everything on the data is DataFrame operations. The classifier is fitted on `sample_rows` labelled rows,
 the first by a hash of doc_id.
@@ -121,8 +122,16 @@ def soft_members(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, te
     return written(logs.select("doc_id", "n_tokens", F.col("g").alias("p")), "members")
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False, steps: int = 60, tolerance: float = 1e-3) -> tuple[Column, np.ndarray, np.ndarray]:
-    """The rate as an expression over members, the targets, and the reached totals.
+def moved(rate: Column, moves: list[np.ndarray]) -> Column:
+    """rate after the moves in order, each -sum_k p_k move_k clipped at 0."""
+    if not moves:
+        return rate
+    each = F.array(*(F.array(*map(F.lit, m.tolist())) for m in moves))
+    return F.aggregate(each, rate, lambda r, m: F.greatest(F.lit(0.0), r - reduce(lambda a, b: a + b, [F.col("p")[k] * m[k] for k in range(len(DOMAINS))])))
+
+
+def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False, steps: int = 60, tolerance: float = 1e-3, fold: int = 8) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """members with the column rate, the targets, and the reached totals.
 
     The budget is the tokens there are or, with grow, the least one for which no domain must shrink.
     """
@@ -137,28 +146,29 @@ def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False,
     budget = max([now[k] / share[k] for k in range(n) if share[k] > 0]) if grow else now.sum()
     target = share * budget
     if not now.sum():
-        return F.lit(1.0), target, now
+        return members.withColumn("rate", F.lit(1.0)), target, now
     gram = np.zeros((n, n))
     for k, m in pairs:
         gram[k, m] = gram[m, k] = first[f"g{k}{m}"] or 0.0
     scale = np.maximum(np.diag(gram), 1e-3 * now.sum())
     eta = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
-    rate, reached = F.lit(1.0), now
+    stored, reached, moves = members.withColumn("rate", F.lit(1.0)), now, []
     for _ in range(steps):
         if (np.abs(reached - target) <= tolerance * np.maximum(target, 1e-2 * budget)).all():
             break
-        move = eta * (reached - target) / scale
-        rate = F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [p[k] * float(move[k]) for k in range(n)]))
-        got = members.agg(*(F.sum(rate * t * p[k]).alias(f"s{k}") for k in range(n))).first()
+        if len(moves) == fold:
+            stored, moves = written(stored.withColumn("rate", moved(F.col("rate"), moves)), "rates"), []
+        moves.append(eta * (reached - target) / scale)
+        got = stored.select(*(p[k].alias(f"p{k}") for k in range(n)), t.alias("t"), moved(F.col("rate"), moves).alias("r")).agg(*(F.sum(F.col("r") * F.col("t") * F.col(f"p{k}")).alias(f"s{k}") for k in range(n))).first()
         reached = np.array([got[f"s{k}"] or 0.0 for k in range(n)])
-    return rate, target, reached
+    return stored.withColumn("rate", moved(F.col("rate"), moves)), target, reached
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, grow: bool = False, **options) -> DataFrame:
     """doc_id, n_tokens, the posterior of each domain and the rate of every document."""
     members = soft_members(docs, labels, **options)
-    rate, _, _ = fit_rates(members, weights or TARGETS, grow)
-    return members.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)), F.when(F.col("n_tokens") == 0, 1.0).otherwise(rate).alias("rate"))
+    rated, _, _ = fit_rates(members, weights or TARGETS, grow)
+    return rated.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)), F.when(F.col("n_tokens") == 0, 1.0).otherwise(F.col("rate")).alias("rate"))
 
 
 def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, seed: int = 7, **options) -> DataFrame:
