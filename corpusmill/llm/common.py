@@ -25,11 +25,24 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 
+#: Spark then removes an execution's shuffle files as soon as it ends.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends, and lost executors cost nothing."""
+    """Write df to the shared folder and read it back: lineage ends, and lost executors cost nothing.
+
+    The table stands for the shuffles behind it, so their files go at once; otherwise they stay until the
+    driver collects garbage.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
