@@ -301,8 +301,115 @@ def link_edges(spark, d):
     return links.where("l.href LIKE 'http%'").select("page_id", "src", U.normalize_url(F.col("l.href")).alias("dst"), "l.text").where("src <> dst").dropDuplicates(["src", "dst"])
 
 
-@query("SELECT a.n_nationkey AS node, CAST(min(k) AS INTEGER) AS depth FROM nation AS a, (VALUES (0), (1), (2)) AS v(k) WHERE a.n_nationkey BETWEEN k AND 2 * k AND 1 = 0 GROUP BY 1 UNION ALL SELECT * FROM (VALUES (0, 0), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2)) AS t(node, depth)")
+@query("""WITH RECURSIVE e AS (SELECT n_nationkey AS src, unnest([n_nationkey * 2 + 1, n_nationkey * 2 + 2]) AS dst FROM nation),
+ r AS (SELECT n_nationkey AS node, 0 AS depth FROM nation WHERE n_nationkey = 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.node WHERE r.depth < 2)
+ SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY 1""")
 def bounded_reach(spark, d):
     n = table(spark, d, "nation")
     edges = n.select(F.col("n_nationkey").alias("src"), F.explode(F.array(F.col("n_nationkey") * 2 + 1, F.col("n_nationkey") * 2 + 2)).alias("dst"))
     return O.reachable(edges, n.where("n_nationkey = 0").select(F.col("n_nationkey").alias("node")), 2)
+
+
+URL_OF_DAY = "concat('https://example.com/', {y}, '/', {m}, '/', {d}, '/item-', o_orderkey)"
+
+
+@query(f"""SELECT o_orderkey, CAST(try_cast(concat_ws('-', nullif(regexp_extract(u, '(?:^|/)(20[0-9]{{2}})[-/](0?[1-9]|1[0-2])[-/](0?[1-9]|[12][0-9]|3[01])(?:/|$)', 1), ''), lpad(m, 2, '0'), lpad(d, 2, '0')) AS DATE) AS VARCHAR) AS url_date
+ FROM (SELECT o_orderkey, u, CAST(month(o_orderdate) AS VARCHAR) AS m, CAST(day(o_orderdate) AS VARCHAR) AS d FROM (SELECT *, {URL_OF_DAY.format(y="year(o_orderdate) + 10", m="month(o_orderdate)", d="day(o_orderdate)")} AS u FROM orders))""")
+def url_date(spark, d):
+    # Ten years on, some 29ths of February don't exist.
+    url = F.expr(URL_OF_DAY.format(y="year(o_orderdate) + 10", m="month(o_orderdate)", d="day(o_orderdate)"))
+    return table(spark, d, "orders").select("o_orderkey", U.url_date(url).cast("string").alias("url_date"))
+
+
+@query("SELECT event_id FROM events WHERE event_id % 4 IN (1, 2) AND user_id % 10 = 3 AND (value IS NULL OR value <= 50)")
+def requeue_scope(spark, d):
+    """Rows in RETRY_WAIT (1) or FAILED (2) of one source that are due."""
+    due = F.col("value").isNull() | (F.col("value") <= 50)
+    return table(spark, d, "events").where((F.col("event_id") % 4).isin(1, 2) & (F.col("user_id") % 10 == 3) & due).select("event_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def reclassify_zero(spark, d):
+    """Accepted articles (status F) without a kept sentence (flag R)."""
+    kept = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, d, "orders").where("o_orderstatus = 'F'").join(kept, "o_orderkey", "left_anti").select("o_orderkey")
+
+
+@query(f"SELECT normalized AS url, bool_or(page_id % 2 = 0) AS configured, bool_or(page_id % 2 = 1 OR page_id % 6 = 0) AS declared FROM ({NORMAL_URL}) GROUP BY 1")
+def merged_roots(spark, d):
+    """Roots that are configured, declared by robots, or both, by normal form."""
+    rows = url_normalize(spark, d)
+    return rows.groupBy(F.col("normalized").alias("url")).agg(F.bool_or(F.col("page_id") % 2 == 0).alias("configured"), F.bool_or((F.col("page_id") % 2 == 1) | (F.col("page_id") % 6 == 0)).alias("declared"))
+
+
+@query(f"SELECT normalized AS url, CAST(min(page_id % 4) AS INTEGER) AS depth, CAST(max(page_id % 11) AS INTEGER) AS priority, min(page_id) AS owner FROM ({NORMAL_URL}) GROUP BY 1")
+def rediscovery_improvement(spark, d):
+    """A URL found again keeps its owner, its smallest depth and its highest priority."""
+    return url_normalize(spark, d).groupBy(F.col("normalized").alias("url")).agg(F.min((F.col("page_id") % 4).cast("int")).alias("depth"), F.max((F.col("page_id") % 11).cast("int")).alias("priority"), F.min("page_id").alias("owner"))
+
+
+@query(f"SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source, {HASH} ORDER BY doc_id) AS n FROM documents) WHERE n > 1")
+def pagination_loops(spark, d):
+    """Pages (documents) whose body was met before in the same period (source)."""
+    hashed = table(spark, d, "documents").select("source", "doc_id", T.content_hash(F.col("text")).alias("h"))
+    # The first is kept by a partial aggregate, so no window gathers a period.
+    first = hashed.groupBy("source", "h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return hashed.join(first, ["source", "h"]).where("doc_id <> first").select("source", "doc_id")
+
+
+RECONCILED = SQL["candidate_reconcile"]
+
+
+@query(f"SELECT CAST(sum(CASE WHEN outcome = 'queued_new' THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS new_url, CAST(sum(CASE WHEN outcome LIKE 'duplicate%' THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS duplicate, 1 - CAST(sum(CASE WHEN outcome = 'rejected_scope' THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS scope_acceptance FROM ({RECONCILED})")
+def funnel_rates(spark, d):
+    share = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0)).cast("double") / F.sum("n")
+    out = F.col("outcome")
+    return candidate_reconcile(spark, d).agg(share(out == "queued_new").alias("new_url"), share(out.startswith("duplicate")).alias("duplicate"), (F.lit(1) - share(out == "rejected_scope")).alias("scope_acceptance"))
+
+
+@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events) WHERE n <= 25")
+def parent_quota(spark, d):
+    return O.capped_samples(table(spark, d, "events").select("user_id", "event_id"), ["user_id"], ["event_id"], 25).drop("sample")
+
+
+@query("""SELECT page_id, CASE page_id % 5 WHEN 1 THEN 'blank' WHEN 2 THEN 'malformed' WHEN 3 THEN 'invalid' ELSE 'candidate' END AS outcome,
+ CASE WHEN page_id % 5 IN (0, 4) THEN url WHEN page_id % 5 = 3 THEN '' END AS url FROM pages""")
+def ndjson_index_parse(spark, d):
+    k = F.col("page_id") % 5
+    line = F.when(k == 1, " ").when(k == 2, F.concat(F.lit('{"url": "'), "url")).when(k == 3, '{"url": "", "status": "200"}').otherwise(F.to_json(F.struct("url", F.lit("200").alias("status"))))
+    lines = table(spark, d, "pages").select("page_id", line.alias("value"))
+    return lines.select("page_id", feeds.index_outcome(F.col("value")).alias("outcome"), F.try_variant_get(F.try_parse_json("value"), "$.url", "string").alias("url"))
+
+
+def _xml(spark, d, body: str):
+    """One document per page, with the page's URL as escaped text in it."""
+    url = F.replace(F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    before, after = body.split("URL")
+    return table(spark, d, "pages").select("page_id", F.concat(F.lit(before), url, F.lit(after)).cast("binary").alias("content"))
+
+
+@query("SELECT page_id, 'RSS' AS kind, 'A title' AS title, trim(url) AS url, 'Tue, 11 Aug 2026 00:00:00 +0000' AS published FROM pages")
+def feed_parse(spark, d):
+    rows = _xml(spark, d, "<rss version='2.0'><channel><item><title>A title</title><link>URL</link><pubDate>Tue, 11 Aug 2026 00:00:00 +0000</pubDate></item></channel></rss>")
+    return feeds.read_feeds(rows, "page_id").select("page_id", "kind", F.explode("entries").alias("e")).select("page_id", "kind", "e.title", "e.url", "e.published")
+
+
+@query("SELECT page_id, 'urlset' AS kind, trim(url) AS url, '2026-08-11' AS lastmod FROM pages")
+def sitemap_parse(spark, d):
+    rows = _xml(spark, d, "<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'><url><loc>URL</loc><lastmod>2026-08-11</lastmod></url></urlset>")
+    return feeds.read_sitemaps(rows, "page_id").select("page_id", "kind", F.explode("urls").alias("u")).select("page_id", "kind", "u.url", "u.lastmod")
+
+
+@query()
+def simhash64(spark, d):
+    return O.simhashes(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query()
+def crawl_flow(spark, d):
+    """From fetched pages to the outcomes of their sentences; each page's source is its own host."""
+    p = U.parts(F.col("url"))
+    wanted = p["scheme"].isin("http", "https") & (p["netloc"] != "") & ~U.is_asset(p["path"], p["query"])
+    articles = html.extract_pages(table(spark, d, "pages").where(wanted))
+    docs = articles.select(F.col("page_id").alias("doc_id"), F.col("body").alias("text"), p["netloc"].alias("source"))
+    return O.sentence_outcomes(O.sentence_rows(docs)).groupBy("outcome").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("pages"))
