@@ -109,16 +109,26 @@ def simhashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def near_pairs(df: DataFrame, id_col: str, text_col: str, distance: int = 3) -> DataFrame:
-    """Pairs of different 64-bit similarity hashes within `distance` bits, by four 16-bit bands.
+    """Classes of equal 64-bit similarity hashes and the pairs of different hashes within `distance` bits, by four 16-bit bands.
 
-    With up to three differing bits one band is equal. Documents that share a hash are represented by their first id.
+    Of kind member: a row for each document a, with its class (its hash). Of kind pair: two classes with their
+    first ids a and b. Documents of one class are at distance 0, those of two paired classes at the pair's
+    distance, so all near documents follow by joining on the classes, though no group's square is written.
+    With up to three differing bits one band is equal. Rows that agree in id and text are one document. Classes
+    are told apart by their hashes, so documents without an id take part.
     """
-    hashed = simhashes(df, id_col, text_col).groupBy("h").agg(F.min(id_col).alias("id"))
-    bands = hashed.select("id", "h", F.posexplode(F.array(*[F.shiftrightunsigned("h", 16 * b).bitwiseAND(F.lit(65535).cast("bigint")) for b in range(4)])).alias("band", "v"))
+    hashed = simhashes(df, id_col, text_col)
+    none = F.lit(None)
+    members = hashed.select(F.lit("member").alias("kind"), F.col(id_col).alias("a"), none.cast(df.schema[id_col].dataType).alias("b"), F.col("h").alias("class_a"), none.cast("bigint").alias("class_b"), none.cast("int").alias("distance"))
+    classes = hashed.groupBy("h").agg(F.min(id_col).alias("id"))
+    bands = classes.select("id", "h", F.posexplode(F.array(*[F.shiftrightunsigned("h", 16 * b).bitwiseAND(F.lit(65535).cast("bigint")) for b in range(4)])).alias("band", "v"))
     left, right = bands.alias("l"), bands.alias("r")
-    pairs = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.id") < F.col("r.id")))
+    # The smaller id first, a missing one last.
+    place = lambda x: F.struct(F.col(f"{x}.id").isNull(), f"{x}.id", f"{x}.h")
+    pairs = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.h") != F.col("r.h")) & (place("l") < place("r")))
     d = T.hamming(F.col("l.h"), F.col("r.h"))
-    return pairs.where(d <= distance).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), d.cast("int").alias("distance")).distinct()
+    found = pairs.where(d <= distance).select(F.lit("pair").alias("kind"), F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.h").alias("class_a"), F.col("r.h").alias("class_b"), d.cast("int").alias("distance")).distinct()
+    return members.unionByName(found)
 
 
 def reachable(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:

@@ -91,6 +91,27 @@ def test_simhash_distances(spark):
     assert h[7] == aso  # two votes of three
 
 
+def test_near_pairs_equal_brute_force(spark):
+    """Different texts with equal hashes (word order, case), groups of copies, ids that are missing."""
+    words = [f"w{i}" for i in range(60)]
+    base = " ".join(words)
+    texts = [(9, base), (3, " ".join(reversed(words))), (4, base), (4, base), (None, base.upper()), (5, base + " w61"), (None, base + " w61 w62"), (6, base + " w63"), (7, "iba ito"), (8, "Ito, iba!"), (1, None), (2, "")]
+    rows = spark.createDataFrame(texts, "id int, text string")
+    hashes = [(r.id, r.h) for r in O.simhashes(rows, "id", "text").collect()]
+    bits = lambda x, y: ((x ^ y) & (2**64 - 1)).bit_count()
+    got = O.near_pairs(rows, "id", "text").collect()
+    members = [(r.a, r.class_a) for r in got if r.kind == "member"]
+    near = {(r.class_a, r.class_b): r.distance for r in got if r.kind == "pair"}
+    assert sorted(members, key=repr) == sorted(hashes, key=repr) and len(members) == 11 and near
+    assert len(near) == len([r for r in got if r.kind == "pair"])
+    for i, (_, x) in enumerate(members):
+        for _, y in members[i + 1 :]:
+            recovered = 0 if x == y else near.get((x, y), near.get((y, x)))
+            assert recovered == (bits(x, y) if bits(x, y) <= 3 else None)
+    classes = dict(members)
+    assert classes[9] == classes[3] == classes[4] and classes[7] == classes[8]
+
+
 def test_sources():
     rss = b"<rss><channel><item><title>T</title><link>http://a/1</link><pubDate>Tue, 11 Aug 2026 00:00:00 GMT</pubDate></item><item><title>U</title></item></channel></rss>"
     got = feeds.parse_feed(rss)
