@@ -115,6 +115,21 @@ def test_mixing_reaches_targets(spark):
     assert mixing.mix(documents(spark, EDGES), labels.limit(0)).count() == len(EDGES)
 
 
+def test_mixing_fit_meets_hard_targets(spark):
+    """A rare domain, posteriors that overlap, and targets that no rates meet."""
+    rare = spark.range(30_000).selectExpr("id AS doc_id", "100L AS n_tokens", "CASE WHEN id = 0 THEN array(0D, 0D, 1D) WHEN id % 10 = 0 THEN array(0D, 1D, 0D) ELSE array(1D, 0D, 0D) END AS p")
+    e = np.exp(np.random.default_rng(6).normal(0, 1, (6000, 3)))
+    soft = spark.createDataFrame([(i, 100, v) for i, v in enumerate((e / e.sum(axis=1, keepdims=True)).tolist())], "doc_id bigint, n_tokens bigint, p array<double>")
+    for members in (rare, soft):
+        for grow in (False, True):
+            rated, target, reached = mixing.fit_rates(members, mixing.TARGETS, grow)
+            sums = rated.selectExpr(*(f"sum(rate * n_tokens * p[{k}])" for k in range(3)), "min(rate)").first()
+            assert np.abs(np.array(sums[:3]) / target - 1).max() < 2e-3 and np.allclose(sums[:3], reached) and sums[3] >= 0
+    alike = spark.range(50).selectExpr("id AS doc_id", "10L AS n_tokens", "array(0.5D, 0.3D, 0.2D) AS p")
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        mixing.fit_rates(alike, mixing.TARGETS)
+
+
 def test_surrogates(spark):
     key = b"k"
     rows = [*EDGES, (10, "Mr. John Smith, +1 (415) 555-2671 or 415-555-2671, card 4111 1111 1111 1111, 10.2.3.4"), (11, "Mr John Smith again")]
