@@ -26,7 +26,8 @@ Only candidates' sets are stored; every link is verified on them. Point and shin
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; a text with fewer words than
 a shingle is one shingle; equal sets share a component even when everything else differs; repeated rows
-each get a row; a null doc_id is kept, and takes the smallest known doc_id of its component.
+each get a row; a null doc_id is kept, and takes the smallest known doc_id of its component. Rows without a
+doc_id link as others do.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions_for, text_slices, whole_text, written
@@ -106,16 +107,21 @@ class Windows:
         return names, np.concatenate((few_points, points[np.array([i for i, _ in jobs])][np.concatenate((owner[~empty], owner[apart]))]))
 
 
+def _digest() -> Column:
+    """With doc_id this names a row, but for its repeats."""
+    return F.xxhash64(whole_text())
+
+
 def _points(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles and the 128-bit point of each document."""
+    """doc_id, n_shingles, the 128-bit point and the text's digest of each document."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             sets = shingle_sets(batch.column("text").to_pylist(), k)
             digests = [set_digest(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64())], names=["doc_id", "n_shingles", "point", "check"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), batch.column("digest")], names=["doc_id", "n_shingles", "point", "check", "digest"])
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(measure, "doc_id bigint, n_shingles bigint, point bigint, check bigint")
+    return docs.select("doc_id", whole_text().alias("text"), _digest().alias("digest")).mapInArrow(measure, "doc_id bigint, n_shingles bigint, point bigint, check bigint, digest bigint")
 
 
 def _shared_regions(docs: DataFrame, k: int, windows: Windows, buckets: int) -> DataFrame:
@@ -185,15 +191,18 @@ def _counts(members: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
-    """point, its coarse counts and its sorted shingles, for the chosen doc_ids."""
+    """point, its coarse counts and its sorted shingles, for the chosen classes: first and, where that is null, digest."""
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             sets = shingle_sets(batch.column("text").to_pylist(), k)
             yield pa.RecordBatch.from_arrays([pa.array([set_digest(s)[0] for s in sets], pa.int64()), pa.array([_counts(s).tobytes() for s in sets], pa.binary()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["point", "coarse", "members"])
 
-    texts = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id", "left_semi")
-    return texts.select("text").mapInArrow(store, "point bigint, coarse binary, members binary").dropDuplicates(["point"])
+    named = docs.select("doc_id", whole_text().alias("text")).join(chosen.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+    # Texts that only rows without a doc_id have are found by their digests, one row for each.
+    bare = docs.where("doc_id IS NULL").groupBy(_digest().alias("digest")).agg(F.first(whole_text()).alias("text"))
+    unnamed = bare.join(chosen.where("first IS NULL").select("digest"), "digest", "left_semi")
+    return named.select("text").unionByName(unnamed.select("text")).mapInArrow(store, "point bigint, coarse binary, members binary").dropDuplicates(["point"])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -320,31 +329,52 @@ def _unsettled(regions: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(written(several, "several"), "region")
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def _resolved(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """The points of the documents, and each class of equal sets with its component's label and smallest doc_id."""
     points = written(_points(docs, k), "documents")
-    classes = written(points.where("n_shingles > 0").groupBy("point", "check", "n_shingles").agg(F.min("doc_id").alias("first")), "classes")
+    classes = written(points.where("n_shingles > 0").groupBy("point", "check", "n_shingles").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest")), "classes")
     windows = Windows(threshold)
     entries = points.agg(F.sum(F.col("n_shingles") * 0.4 + 2)).first()[0] or 0
     regions = written(_shared_regions(docs, k, windows, partitions_for(entries * 12, 6 << 20, 12)), "regions")
     candidates = classes.join(regions.select("point").distinct(), "point", "left_semi")
-    coarse_sets = written(_sets(docs, candidates.select(F.col("first").alias("doc_id")), k), "sets")
+    coarse_sets = written(_sets(docs, candidates.select("first", "digest"), k), "sets")
     coarse = coarse_sets.select("point", "coarse").join(candidates.select("point", "n_shingles"), "point")
     labels = _join_regions(regions, written(coarse, "coarse"), coarse_sets.select("point", "members"), threshold)
     named = labels.join(classes.select("point", "first"), "point")
     smallest = named.groupBy("label").agg(F.min("first").alias("component"))
-    of_class = named.join(smallest, "label").select("point", "component")
-    resolved = written(classes.join(of_class, "point", "left").select("point", "check", F.coalesce("component", "first").alias("component")), "resolved")
+    of_class = named.join(smallest, "label").select("point", "label", "component")
+    # A label is the smallest point of its component, so a class that links with nothing is named by its own.
+    resolved = classes.join(of_class, "point", "left").select("point", "check", F.coalesce("label", "point").alias("label"), F.coalesce("component", "first").alias("component"))
+    return points, written(resolved, "resolved")
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    points, resolved = _resolved(docs, k, threshold)
     some = points.where("n_shingles > 0").join(resolved, ["point", "check"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     none = points.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return some.unionByName(none)
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
-    """The rows of docs, with all columns, that stand first in their component.
+    """One row of docs, with all columns, for each component: the first by doc_id (null last) and digest of the text.
 
-    Of rows that share the smallest doc_id all stay; rows without a doc_id stay only if nothing else of
-    their component has one.
+    Of rows that agree in both any one stays. Texts without shingles link with nothing, so all their rows stay.
     """
-    first = jaccard_components(docs, k, threshold).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(first.withColumnRenamed("doc_id", "_first"), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    points, resolved = _resolved(docs, k, threshold)
+    # Copies are counted and reduced class by class, so that no join holds a large class.
+    copies = points.where("n_shingles > 0").groupBy("point", "check", "doc_id", "digest").agg(F.count("*").alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "digest", "n")
+    heads = copies.groupBy("point", "check").agg(F.min(row).alias("row")).join(resolved, ["point", "check"]).groupBy("label").agg(F.min("row").alias("row"))
+    empty = points.where("n_shingles = 0").select("doc_id", "digest").distinct()
+    first = heads.select("row.doc_id", "row.digest", (F.col("row.n") > 1).alias("again")).unionByName(empty.withColumn("again", F.lit(False)))
+    first = written(first.select(F.col("doc_id").alias("_first"), F.col("digest").alias("_digest"), "again"), "first")
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, (_digest() == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+
+    kept = rows(first.where("NOT again"))
+    if first.where("again").limit(1).count() == 0:
+        return kept
+    several = rows(first.where("again")).groupBy("doc_id", _digest().alias("_digest")).agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return kept.unionByName(several.select("_row.*"))

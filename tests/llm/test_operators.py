@@ -191,6 +191,21 @@ def test_jaccard_components(spark, near, k, t):
     assert got == brute_components(rows, k, t)
 
 
+def test_jaccard_without_ids(spark):
+    """A row without an id links two known ones; rows repeat; components without any id stay apart."""
+    rng = random.Random(12)
+    w = text(rng, 70).split()
+    a, n, b = " ".join(w[:54]), " ".join(w[4:58]), " ".join(w[8:62])
+    other, third = text(rng, 40), text(rng, 40)
+    rows = [(7, a), (None, n), (None, n), (9, b), (9, b), (None, a), (None, None), (None, ""), (None, other), (None, other + " more"), (None, third), (3, "one"), (3, "two words"), (3, "one"), (5, "")]
+    docs = documents(spark, rows)
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs).collect())
+    assert got[9, 7] == 2 and got[7, 7] == 1 and got[None, 7] == 3 and sum(got.values()) == len(rows)
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_one(docs).select(*docs.columns).collect())
+    bare = [t for i, t in kept if i is None and t and t.startswith(other)]
+    assert len(bare) == 1 and kept == Counter([(7, a), (None, None), (None, ""), (None, bare[0]), (None, third), (3, "one"), (3, "two words"), (5, "")])
+
+
 def test_quality(spark):
     rng = random.Random(9)
     rows = [(i, text(rng, 60) if i % 2 else "BUY NOW!! " * 30) for i in range(240)]
