@@ -42,15 +42,99 @@ _GENDER = {n.lower(): g for (_, g), names in NAMES.items() for n in names}
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])")
+#: Groups of a phone number and what stands between them: blanks, dots, slashes and hyphens, or a bracket alone.
+_GROUP, _GAP = r"(?:\(\d{1,6}\)|\d{1,15})", r"[ \u00a0\u202f.\-\u2010-\u2013/]"
 _NUMBERS = re.compile(
     r"(?:(?<![\w.])|(?<=\w[=:]))(?:(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\.?\w)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![-\w])"
     r"|(?P<card>\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{5})(?![-\w])"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\+\d{8,15})(?![-\w]))"
+    rf"|(?P<phone>\+?{_GROUP}(?:(?:{_GAP}|(?=\()|(?<=\))){_GROUP})*)(?![-\w]))"
 )
 _DIGIT = re.compile(r"\d").search
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-_PERSON = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(\.?\s)([^\W\d_][\w'’-]*(?:[ \t][^\W\d_a-z][\w'’-]*)?)")
+#: Given names that mark a person without a title, besides those of NAMES.
+GIVEN = {
+    "m": "John James Robert Michael William Richard Joseph Charles Christopher Matthew Anthony Andrew Joshua Kevin Brian George Edward Jean Pierre Jacques François Michel Philippe Nicolas Hans Klaus Jürgen Wolfgang Stefan Andreas Markus Uwe Juan José Carlos Luis Miguel Javier Antonio Manuel Pedro Pablo".split(),
+    "f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Karen Nancy Margaret Emily Marie Isabelle Nathalie Sylvie Camille Sabine Petra Monika Ursula Claudia Katrin Heike Carmen Ana Isabel Pilar Cristina Marta Rosa".split(),
+}
+_GENDER |= {n.lower(): g for g, names in GIVEN.items() for n in names}
+_GIVEN = sorted({n for names in (*NAMES.values(), *GIVEN.values()) for n in names}, key=lambda n: (-len(n), n))
+_WORD = r"[^\W\d_][\w'’-]*"
+#: Further words of a name: particles before a capital, initials, capitalised words.
+_MORE = rf"(?:[ \t](?:(?:de|del|la|las|los|da|do|dos|di|van|von|der|den|zu|y|e|le|du|bin|al)[ \t])*(?:[^\W\d_a-z]\.(?=[ \t])|[^\W\d_a-z][\w'’-]*))"
+_PERSON = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + rf")(\.?\s)((?:[^\W\d_a-z]\.[ \t])*{_WORD}{_MORE}*)")
+_NAMED = re.compile(rf"\b(?:{'|'.join(_GIVEN)}){_MORE}+")
+_PARTS = re.compile(r"\S+")
+
+
+def _phones(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Where the phone numbers of a run of groups are: as many digits as possible in as few numbers of 9 to 15 digits."""
+    groups = [(m.start(), m.end(), sum(map(str.isdigit, m[0]))) for m in re.finditer(_GROUP, text[start:end])]
+    best: list[tuple] = [(0, 0, None)]
+    for i in range(1, len(groups) + 1):
+        # Either the last group belongs to no number, or a number of the last groups ends here.
+        choice, digits, widest = (best[i - 1][0] + groups[i - 1][2], best[i - 1][1], None), 0, 0
+        for j in range(i - 1, -1, -1):
+            digits += groups[j][2]
+            widest = max(widest, groups[j][2])
+            if digits > 15:
+                break
+            marked = (j == 0 and text[start] == "+") or text[start + groups[j][0]] == "("
+            fraction = i - j == 2 and text[start + groups[j][1] : start + groups[i - 1][0]] == "."
+            if digits >= 9 and (marked or (widest > 2 and not fraction)):
+                choice = min(choice, (best[j][0], best[j][1] + 1, j), key=lambda c: c[:2])
+        best.append(choice)
+    out, i = [], len(groups)
+    while i:
+        j = best[i][2]
+        if j is not None:
+            out.append((start + groups[j][0] if j else start, start + groups[i - 1][1]))
+        i = i - 1 if j is None else j
+    return out[::-1]
+
+
+def _name(text: str, start: int, end: int) -> tuple[int, list[str]]:
+    """End and words of the name that starts at start; a word that isn't capitalised, other than a particle, ends it."""
+    words, kept, upto = [], 0, start
+    for m in _PARTS.finditer(text, start, end):
+        word = m[0][:-2] if m[0].endswith(("'s", "’s")) else m[0]
+        if words and word.rstrip(".") in TITLES:
+            break
+        words.append(word)
+        if word[0].isupper():
+            kept, upto = len(words), m.start() + len(word)
+        elif len(words) == 1 or not word.isascii() or word != m[0]:
+            break
+        if word != m[0]:
+            break
+    return upto, words[:kept]
+
+
+def _persons(text: str) -> list[tuple[int, int, str, str]]:
+    """Names after titles, known given names with what follows, and untitled mentions of both in the same text."""
+    out, full = [], {}
+    titled = [(m.start(3), m.end(3), TITLES[m[1]]) for m in _PERSON.finditer(text)] if any(t in text for t in TITLES) else []
+    for start, end, gender in [*titled, *((m.start(), m.end(), "") for m in _NAMED.finditer(text))]:
+        end, name = _name(text, start, end)
+        if name and not (len(out) >= len(titled) and len(name) < 2):
+            out.append((start, end, gender or _GENDER.get(name[0].lower(), ""), name))
+    if not out:
+        return out
+    # A person named in full gives the normal form for later mentions by surname, or in full without the title.
+    for _, _, gender, name in sorted(out, key=lambda e: (-len(e[3]), not e[2])):
+        whole, last = " ".join(name), name[-1]
+        full.setdefault(whole.lower(), []).append(f"{gender}|{whole.lower()}")
+        if len(name) > 1:
+            full.setdefault(last.lower(), []).append(f"{gender}|{whole.lower()}")
+
+    def normal(words: str, gender: str) -> str:
+        own = f"{gender}|{words}"
+        return next((n for n in full.get(words, ()) if not gender or n[: n.index("|")] in ("", gender)), own)
+
+    found = [(start, end, "person", normal(" ".join(name).lower(), gender)) for start, end, gender, name in out]
+    wanted = {w for _, _, _, name in out for w in (" ".join(name), name[-1]) if len(w) > 2}
+    again = re.compile(r"(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(wanted | {w.upper() for w in wanted}, key=lambda w: (-len(w), w))) + r")(?!\w)")
+    return found + [(m.start(), m.end(), "person", normal(m[0].lower(), "")) for m in again.finditer(text)]
 
 
 def _luhn(digits: str) -> int:
@@ -84,17 +168,15 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             continue
         if kind == "card" and not 13 <= len(digits) <= 19:
             continue
-        if kind == "phone" and not 9 <= len(digits) <= 15:
+        if kind == "phone":
+            out += [(i, j, kind, _digits(text[i:j])) for i, j in _phones(text, m.start(), m.end())]
             continue
         out.append((m.start(), m.end(), kind, value if kind == "ip" else digits))
     for m in _IBAN.finditer(text) if digit else ():
         flat = m[0].replace(" ", "")
         if 15 <= len(flat) <= 34 and _mod97(flat) == 1:
             out.append((m.start(), m.end(), "iban", flat))
-    for m in _PERSON.finditer(text) if any(t in text for t in TITLES) else ():
-        name = m[3].split()
-        if name[0][0].isupper():
-            out.append((m.start(3), m.end(3), "person", f"{TITLES[m[1]] or _GENDER.get(name[0].lower(), '')}|{' '.join(name).lower()}"))
+    out += _persons(text)
     out.sort(key=lambda e: (e[0], -e[1]))
     kept, upto = [], -1
     for e in out:
@@ -170,6 +252,8 @@ def render(original: str, kind: str, normal: str) -> str:
         return "".join(next(chars) if c != " " else c for c in original)
     if kind == "person":
         name = normal.partition("|")[2]
+        # A mention by surname shows the surname of the person's surrogate.
+        name = name if len(original.split()) > 1 else name.split()[-1]
         return name.upper() if original.isupper() and len(original) > 1 else name.title()
     if kind == "email" and original.isupper():
         return normal.upper()

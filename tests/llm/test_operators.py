@@ -142,6 +142,27 @@ def test_surrogates(spark):
     assert kinds == {"person", "phone", "card", "ip"}
 
 
+PHONES = ["+49 170 1234567", "+44 7911 123456", "+1 415 5551234", "+33 6 12 34 56 78", "(0711) 1234567", "4155551234", "+1 (415) 555-2671", "+491701234567", "0711/1234567", "(415)555-2671", "+49 (0)170 1234567"]
+
+
+@pytest.mark.parametrize("phone", PHONES)
+def test_surrogates_find_phones(phone):
+    text = f"Ruf an: {phone}, danke"
+    assert [(text[a:b], kind) for a, b, kind, _ in surrogates.find(text)] == [(phone, "phone")]
+
+
+def test_surrogates_find_names_and_neighbours(spark):
+    two = "415-555-2671 415-555-2672"
+    assert [two[a:b] for a, b, *_ in surrogates.find(two)] == two.split()
+    assert not surrogates.find("pi is 3.14159265 in 2024, see 12 34 56 78 90 1")
+    rows = [(1, "Mr. John Ronald Smith met Mrs Maria de la Cruz. Later Smith wrote to Cruz's sister, and SMITH left; John Ronald Smith stayed."), (2, "Then Emily Watson spoke, and Watson left."), (3, "Mr Dupont était là.")]
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(documents(spark, rows), b"k").collect()}
+    assert not any(w in " ".join(got.values()) for w in ("Smith", "SMITH", "Ronald", "Cruz", "Watson", "Emily", "Dupont")) and got[3].endswith(" était là.")
+    given, family = got[1].removeprefix("Mr. ").split()[:2]
+    assert f"Later {family} wrote" in got[1] and f"and {family.upper()} left; {given} {family} stayed." in got[1]
+    assert got[2].split()[2].rstrip(",") == got[2].split()[5]
+
+
 def test_surrogates_stay_distinct(spark):
     """Two-digit local parts leave little room, so first choices collide."""
     rows = [(i, f"{i:02d}@a.com") for i in range(60)]
