@@ -14,11 +14,15 @@ sets of a and b >= a members allows at most a * (1 - t) / t differences.
    Sampled documents can't be the pivots of this step: nearly all pairs of documents share nothing, so
    all distances from such pivots are 1 and every window would hold every point.
 2. Regions join recursively. In each region the point that stands in the most regions becomes its pivot
-   document; the others are tested against it, unless the triangle inequality rules a link out, and what links becomes one component. In regions that still
-   hold several, points of the largest become pivots for the points outside it, twice. Regions that then
-   hold several components are cut into blocks of about `BLOCK` points, each pair of blocks a sub-region,
-   where pairs of different components are tested, unless the triangle inequality over counts by coarse
-   cells (or over sizes) rules a link out. So every pair of a region is tested, ruled out or already
+   document; the others are tested against it, unless the triangle inequality rules a link out, and what links
+   becomes one component. In regions that still hold several, points of the largest become pivots for the
+   points outside it. A region of more than `LEAF` points that still holds several components is then cut as
+   a Voronoi diagram in the space of counts by coarse cells (whose L1 distance no symmetric difference is
+   under): each point is at home with its nearest of `PIVOTS` pivots, and the triangle inequality gives the
+   window of other regions that it has to visit. The parts are cut again, down to leaves, where pairs of
+   different components are tested unless sizes or counts rule a link out. A region that windows don't
+   thin out (its points are all near each other) is cut into blocks instead, and the points outside its
+   largest component meet all of it, block by block. So every pair of a region is tested, ruled out or already
    connected, and no region is ever gathered in a task.
 
 Only candidates' sets are stored; every link is verified on them. Point and shingle identities are 128-bit and
@@ -34,6 +38,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +49,14 @@ from .common import partitions_for, text_slices, whole_text, written
 from .shingles import mixed, set_digest, shingle_sets
 
 COARSE = 256
-BLOCK = 128
+#: Regions of up to so many points are tested as they are.
+LEAF = 2048
+#: How often a region is cut, and how many times its rows the parts may hold.
+LEVELS, GROWTH = 3, 2
 #: Sets of up to so many shingles take single shingles as pivots.
 FEW = 40
-#: Turns with pivots of the largest component, and pivots a turn.
-TURNS, PIVOTS = 2, 4
+#: Points of the largest component that others are tested against, and pivots of a cut.
+HEADS, PIVOTS = 4, 16
 
 
 class Windows:
@@ -264,38 +272,131 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(named.select("point", F.coalesce("root", "label").alias("label")), "labels")
 
 
+_ROW = "cell bigint, home boolean, point bigint, label bigint, n_shingles bigint, coarse binary"
+
+
+def _grid(column: pa.Array) -> np.ndarray:
+    """A row of counts for each value."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COARSE).astype(np.int16)
+
+
+def _cut(rows: DataFrame, level: int, threshold: Fraction) -> DataFrame:
+    """The rows of large cells in the cells of their pivots: parent, and the columns of _ROW.
+
+    A visitor meets only those at home. Of two neighbours at home with different pivots the one with the lower visits.
+    """
+    slot = F.pmod(F.xxhash64("point", F.lit(level)), F.lit(PIVOTS))
+    heads = rows.where("home").groupBy("cell", slot.alias("slot")).agg(F.min(F.struct("point", "coarse")).alias("p"))
+    pivots = written(heads.groupBy("cell").agg(F.array_sort(F.collect_list("p.coarse")).alias("pivots")), "pivots")
+    wide = float(2 * (1 - threshold) / threshold)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "coarse"):
+            cells, home, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "home", "n_shingles"))
+            counts = _grid(batch.column("coarse"))
+            for cell in np.unique(cells):
+                mine = np.flatnonzero(cells == cell)
+                centres = _grid(pa.array(batch.column("pivots")[int(mine[0])].as_py(), pa.binary()))
+                away = np.stack([np.abs(counts[mine] - c).sum(axis=1, dtype=np.int64) for c in centres], axis=1)
+                nearest = away.argmin(axis=1)
+                to = away <= (away.min(axis=1) + wide * n[mine])[:, None]
+                to &= ~home[mine][:, None] | (np.arange(len(centres)) >= nearest[:, None])
+                x, j = np.nonzero(to)
+                part = batch.select(["cell", "point", "label", "n_shingles", "coarse"]).take(pa.array(mine[x]))
+                names = mixed(mixed(np.full(len(j), cell, np.int64).view(np.uint64), 41 + level) ^ j.astype(np.uint64), 40)
+                yield pa.RecordBatch.from_arrays([part.column("cell"), pa.array(names.view(np.int64)), pa.array(home[mine][x] & (j == nearest[x])), *part.columns[1:]], names=["parent", "cell", "home", "point", "label", "n_shingles", "coarse"])
+
+    return rows.join(pivots, "cell").mapInArrow(assign, f"parent bigint, {_ROW}")
+
+
+def _leaves(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """What meets in a test: cell, i, j, side (0: of both sides, 1: left, 2: right) and the columns of _ROW."""
+    done: list[DataFrame] = []
+    whole = [F.lit(0).alias(c) for c in ("i", "j", "side")]
+    for level in range(LEVELS + 1):
+        sizes = written(rows.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > LEAF), "sizes")
+        if sizes.limit(1).count() == 0:
+            done.append(rows.select("*", *whole))
+            break
+        done.append(rows.join(sizes, "cell", "left_anti").select("*", *whole))
+        large = written(rows.join(sizes.select("cell"), "cell", "left_semi"), "large")
+        if level < LEVELS:
+            cut = written(_cut(large, level, threshold), "cut")
+            grown = cut.groupBy("parent").agg(F.count("*").alias("m")).join(sizes.withColumnRenamed("cell", "parent"), "parent")
+            thinned = written(grown.where(F.col("m") <= GROWTH * F.col("n")).select(F.col("parent").alias("cell")), "thinned")
+            rows = cut.join(thinned.withColumnRenamed("cell", "parent"), "parent", "left_semi").drop("parent")
+            large = large.join(thinned, "cell", "left_anti")
+        # The points outside the largest component, in blocks, against blocks of all points.
+        masses = large.groupBy("cell", "label").agg(F.count("*").alias("m"))
+        main = masses.groupBy("cell").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("n"))
+        main = written(main.select("cell", F.col("main.label").alias("main"), F.ceil(F.col("n") / LEAF).cast("int").alias("jn"), F.ceil(F.greatest(F.col("n") - F.col("main.m"), F.lit(1)) / LEAF).cast("int").alias("in")), "main")
+        dealt = large.join(main, "cell")
+        own = lambda n: F.pmod(F.xxhash64("point"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = [*large.columns, "i", "j", "side"]
+        done.append(dealt.where("label <> main").withColumn("i", own("in")).withColumn("j", every("jn")).withColumn("side", F.lit(1)).select(columns))
+        done.append(dealt.withColumn("j", own("jn")).withColumn("i", every("in")).withColumn("side", F.lit(2)).select(columns))
+        if level == LEVELS:
+            break
+    return reduce(DataFrame.unionByName, done)
+
+
 def _across(rows: DataFrame, threshold: Fraction) -> DataFrame:
     """The pairs (a, b) of different labels in a region that may link.
 
-    rows: region, n (its points), point, label, n_shingles, coarse. Sub-regions are pairs of blocks.
+    rows: region, point, label, n_shingles, coarse.
     """
     spark = rows.sparkSession
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = rows.withColumn("own", F.pmod(F.xxhash64("point"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = own.select("region", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "point", "label", "n_shingles", "coarse")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    cells = written(rows.select(F.col("region").alias("cell"), F.lit(True).alias("home"), "point", "label", "n_shingles", "coarse"), "cells")
+    met = _leaves(cells, threshold)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(cells.count() * 320, 8 << 20))
     top, bottom = threshold.numerator, threshold.denominator
 
+    def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        side, home, point, label, size = (group.column(c).to_numpy() for c in ("side", "home", "point", "label", "n_shingles"))
+        names, inverse, mass = np.unique(label, return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            return point[:0], point[:0]
+        main = inverse == mass.argmax()
+        left, right = np.flatnonzero((side == 1) | (side == 0) & ~main), np.flatnonzero(side != 1)
+        right = right[np.argsort(size[right], kind="stable")]
+        counts, sizes = _grid(group.column("coarse").combine_chunks()), size[right]
+        from_, to = np.searchsorted(sizes, -(-size[left] * top // bottom)), np.searchsorted(sizes, size[left] * bottom // top, "right")
+        a, b = [], []
+        for x, lo, hi in zip(left.tolist(), from_.tolist(), to.tolist(), strict=True):
+            y = right[lo:hi]
+            # Two points outside the main component are both on the left: one test will do.
+            y = y[(label[y] != label[x]) & (home[y] | home[x]) & ((side[x] == 1) | main[y] | (point[x] < point[y]))]
+            if len(y):
+                apart = np.abs(counts[y] - counts[x]).sum(axis=1, dtype=np.int64)
+                y = y[apart * (top + bottom) <= (size[x] + size[y]) * (bottom - top)]
+                a.append(np.full(len(y), point[x]))
+                b.append(point[y])
+        return (np.concatenate(a), np.concatenate(b)) if a else (point[:0], point[:0])
+
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, list[tuple]] = {}
+        def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            a, b = pairs(pa.Table.from_batches(held))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            for region, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                groups.setdefault((region, i, j), []).append(rest)
-        for (_, i, j), rest in groups.items():
-            own, point, label, size, coarse = zip(*rest, strict=True)
-            own, point, label, size = (np.array(x, np.int64) for x in (own, point, label, size))
-            counts = np.frombuffer(b"".join(coarse), np.uint8).reshape(-1, COARSE).astype(np.int16)
-            left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            near = np.stack([np.abs(c - counts[right]).sum(axis=1, dtype=np.int64) for c in counts[left]]) if len(left) else np.zeros((0, len(right)), np.int64)
-            n, m = size[left][:, None], size[right][None, :]
-            # at most (n + m) * (1 - t) / (1 + t) differences, and sizes within t of each other
-            possible = (near * (top + bottom) <= (n + m) * (bottom - top)) & (bottom * np.minimum(n, m) >= top * np.maximum(n, m))
-            keep = (label[left][:, None] != label[right][None, :]) & possible
-            x, y = np.nonzero(keep)
-            a, b = point[left[x]], point[right[y]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    return dealt.repartition(parts, "region", "i", "j").mapInArrow(test, "a bigint, b bigint").distinct()
+            cell, i, j = (batch.column(c).to_numpy() for c in ("cell", "i", "j"))
+            new = np.flatnonzero((cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows], strict=True):
+                if hi > lo:
+                    key = (cell[lo], i[lo], j[lo])
+                    if held and key != last:
+                        yield found(held)
+                        held = []
+                    last = key
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield found(held)
+
+    sorted_ = met.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    return sorted_.mapInArrow(test, "a bigint, b bigint").distinct()
 
 
 def _join_regions(regions: DataFrame, coarse: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -306,26 +407,24 @@ def _join_regions(regions: DataFrame, coarse: DataFrame, sets: DataFrame, thresh
     pairs = regions.select("region", F.col("point").alias("b")).join(written(first, "pivots"), "region").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = labels.select("point", "weight")
     labels = _merged(labels.select("point", "label"), written(_linked(_near(pairs, coarse, threshold), sets, threshold), "links"))
-    for turn in range(TURNS):
-        rows = _unsettled(regions, labels)
-        # The pivots now are points of the region's largest component, one in each of a few slots.
-        masses = written(labels.groupBy("label").agg(F.count("*").alias("mass")), "masses")
-        rows = written(rows.join(masses, "label").join(known, "point"), "rows")
-        main = written(rows.groupBy("region").agg(F.max(F.struct("mass", "label")).alias("m")).select("region", F.col("m.label").alias("main")), "main")
-        rows = rows.join(main, "region")
-        slot = F.pmod(F.xxhash64("point", F.lit(turn)), F.lit(PIVOTS))
-        pivots = written(rows.where("label = main").groupBy("region", slot.alias("slot")).agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a")), "pivots")
-        tests = rows.where("label <> main").select("region", F.col("point").alias("b")).join(pivots, "region")
-        tests = tests.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        labels = _merged(labels, written(_linked(_near(tests, coarse, threshold), sets, threshold), "links"))
+    # The pivots now are points of the region's largest component, one in each of a few slots.
+    rows = written(_unsettled(regions, labels).join(known, "point"), "rows")
+    masses = written(labels.groupBy("label").agg(F.count("*").alias("mass")), "masses")
+    main = rows.select("region", "label").distinct().join(masses, "label").groupBy("region").agg(F.max(F.struct("mass", "label")).alias("m"))
+    rows = rows.join(written(main.select("region", F.col("m.label").alias("main")), "main"), "region")
+    slot = F.pmod(F.xxhash64("point"), F.lit(HEADS))
+    pivots = written(rows.where("label = main").groupBy("region", slot.alias("slot")).agg(F.max(F.struct("weight", "point")).alias("p")).select("region", F.col("p.point").alias("a")), "pivots")
+    tests = rows.where("label <> main").select("region", F.col("point").alias("b")).join(pivots, "region")
+    tests = tests.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    labels = _merged(labels, written(_linked(_near(tests, coarse, threshold), sets, threshold), "links"))
     rows = _unsettled(regions, labels).join(coarse, "point")
     return _merged(labels, written(_linked(_across(rows, threshold), sets, threshold), "links"))
 
 
 def _unsettled(regions: DataFrame, labels: DataFrame) -> DataFrame:
-    """region, n (its points), point and label of the regions that hold several labels."""
+    """region, point and label of the regions that hold several labels."""
     rows = regions.join(labels, "point")
-    several = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("region", "n")
+    several = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("region")
     return rows.join(written(several, "several"), "region")
 
 
@@ -341,7 +440,7 @@ def _resolved(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame,
     coarse = coarse_sets.select("point", "coarse").join(candidates.select("point", "n_shingles"), "point")
     labels = _join_regions(regions, written(coarse, "coarse"), coarse_sets.select("point", "members"), threshold)
     named = labels.join(classes.select("point", "first"), "point")
-    smallest = named.groupBy("label").agg(F.min("first").alias("component"))
+    smallest = written(named.groupBy("label").agg(F.min("first").alias("component")), "smallest")
     of_class = named.join(smallest, "label").select("point", "label", "component")
     # A label is the smallest point of its component, so a class that links with nothing is named by its own.
     resolved = classes.join(of_class, "point", "left").select("point", "check", F.coalesce("label", "point").alias("label"), F.coalesce("component", "first").alias("component"))
@@ -371,7 +470,7 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5))
     first = written(first.select(F.col("doc_id").alias("_first"), F.col("digest").alias("_digest"), "again"), "first")
 
     def rows(chosen: DataFrame) -> DataFrame:
-        return docs.join(chosen, (_digest() == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+        return docs.join(chosen, (_digest() == chosen["_digest"]) & docs["doc_id"].eqNullSafe(chosen["_first"]), "left_semi")
 
     kept = rows(first.where("NOT again"))
     if first.where("again").limit(1).count() == 0:

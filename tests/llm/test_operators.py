@@ -212,6 +212,36 @@ def test_jaccard_components(spark, near, k, t):
     assert got == brute_components(rows, k, t)
 
 
+@pytest.mark.parametrize("growth", [0, 2, 100])
+def test_jaccard_cuts_large_regions(spark, monkeypatch, growth):
+    """Regions over a leaf's size, whether windows thin them out (or count as if they did) or not."""
+    monkeypatch.setattr(jaccard, "LEAF", 12)
+    monkeypatch.setattr(jaccard, "GROWTH", growth)
+    rng = random.Random(21)
+    passage, base = text(rng, 40), text(rng, 60).split()
+    rows = [(i, f"{text(rng, 12)} {passage} {text(rng, 30)}") for i in range(120)]
+    for i in range(120, 200):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(documents(spark, rows)).collect()}
+    assert got == brute_components(rows, 5, Fraction(4, 5))
+
+
+def test_jaccard_group_of_2000_near_copies(spark):
+    rng = random.Random(22)
+    base, rows = text(rng, 70).split(), []
+    for i in range(2000):
+        words = list(base)
+        words[rng.randrange(70)] = f"new{i}"
+        rows.append((i + 10, " ".join(words)))
+    docs = documents(spark, [*rows, (5, " ".join(base)), (None, rows[3][1]), (3, text(rng, 70))])
+    got = {r.component_id: r["count"] for r in jaccard.jaccard_components(docs).groupBy("component_id").count().collect()}
+    assert got == {5: 2002, 3: 1}
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == [3, 5]
+
+
 def test_jaccard_without_ids(spark):
     """A row without an id links two known ones; rows repeat; components without any id stay apart."""
     rng = random.Random(12)
