@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute
@@ -16,17 +18,33 @@ from pyspark.sql import functions as F
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder below the shared one that the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where that setting is absent and all runs on this machine a temporary folder is made and set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 
-#: Spark then removes an execution's shuffle files as soon as it ends.
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: Spark removes the execution's shuffle files as soon as it ends, and hands rows to
+#: Python in small batches, of which both sides hold a few.
+_FRUGAL = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
+@contextmanager
+def frugal(spark: SparkSession) -> Iterator[None]:
+    """Settings under which tables are written."""
+    before = {k: spark.conf.get(k, None) for k in _FRUGAL}
+    for k, v in _FRUGAL.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
@@ -37,13 +55,19 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}"
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with frugal(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing will read again."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path.getParent(), True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,7 +88,7 @@ def trim() -> None:
         pass
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 480_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about `most` bytes of text, one row at least.
 
     The temporary arrays of vectorised code then stay small however long the texts are. Workers are used

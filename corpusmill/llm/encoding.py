@@ -9,6 +9,7 @@ agree on, and no special string inside the text. Every other text goes to the li
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -62,7 +63,7 @@ def _layout(spec: dict) -> str:
 class PieceEncoder:
     """Ids (as little-endian uint32 bytes) or id counts of texts, equal to the library's."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 200_000):
         self.path, self.keep, self.memory = path, keep, {}
         self.pieces = None
         if path.endswith(".model"):
@@ -94,9 +95,8 @@ class PieceEncoder:
     def _learn(self, pieces: Iterable[str], form) -> None:
         new = list(set(pieces).difference(self.memory))
         if new:
-            if len(self.memory) + len(new) > self.keep:
-                self.memory.clear()
-                new = list(set(pieces))
+            if len(self.memory) + len(new) > self.keep:  # of what is known, this text's pieces are the likeliest to come again
+                self.memory = {p: self.memory[p] for p in set(pieces).difference(new)}
             self.memory.update(zip(new, map(form, map(self._piece, new)), strict=True))
 
     def _piece(self, piece: str) -> list[int]:
@@ -169,7 +169,10 @@ class BulkEncoder(PieceEncoder):
         power, inverse = _powers(len(chars))
         total = np.empty(len(chars) + 1, np.uint64)
         total[0] = 0
-        np.cumsum(_VALUE[chars] * power[: len(chars)], out=total[1:])
+        terms = _VALUE[chars]
+        terms *= power[: len(chars)]
+        np.cumsum(terms, out=total[1:])
+        del terms, chars, kind, cut
         hashes = (total[end] - total[begin]) * inverse[begin]
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         lowered = ("\n".join(texts) + "\n").lower()
@@ -185,6 +188,12 @@ class BulkEncoder(PieceEncoder):
         return ids, np.diff(upto, prepend=0)
 
 
+@functools.lru_cache(maxsize=1)
+def bulk_encoder(path: str) -> BulkEncoder:
+    """The worker's own, which its later tasks use again."""
+    return BulkEncoder(path)
+
+
 def _kinds() -> np.ndarray:
     """By character: 0 space, 1 letter, 2 number, 3 other."""
     letter, number = re.compile(f"[{_LETTER}]").match, re.compile(f"[{_NUMBER}]").match

@@ -47,12 +47,12 @@ _MARK, _CAPITAL = r"[!-/:-@\[-`{-~]", "[A-ZÀ-ÖØ-Þ]"
 def measured(docs: DataFrame, *more: str) -> DataFrame:
     """The columns in more, and the texts' words (lower-cased, without ASCII punctuation) and shares of signs.
 
-    A token is what stands between single spaces, tabs or line feeds.
+    A token is what then stands between spaces, tabs or line feeds; marks alone are none.
     """
     texts = docs.select(*more, whole_text().alias("text"))
     bare = texts.select(*more, "text", F.regexp_replace(F.lower("text"), _MARK, "").alias("bare"))
     chars = F.greatest(F.length("text"), F.lit(1)).cast("double")
-    words = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split(F.replace(F.replace("bare", F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" ")), " "))
+    words = F.array_remove(F.split(F.replace(F.replace("bare", F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" ")), " "), "")
     return bare.select(*more, words.alias("words"), F.sqrt(F.regexp_count("text", F.lit(_CAPITAL)) / chars).alias("capital"), F.sqrt((F.length("text") - F.length("bare")) / chars).alias("mark"))
 
 
@@ -111,8 +111,8 @@ def posterior(x: list[str], rows: dict[str, dict]) -> Column:
     return F.array(*logs)
 
 
-def soft_members(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, terms: int = 16) -> DataFrame:
-    """doc_id, n_tokens and p (the posterior over DOMAINS) of every row, written to the shared folder."""
+def soft_members(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, terms: int = 16, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens and p (the posterior over DOMAINS) of every row, with the columns in more, written to the shared folder."""
     named = domains_of(labels)
     chosen = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # The row's own text has to be there to be measured; what is sampled is a bounded number of labelled ids.
@@ -121,12 +121,13 @@ def soft_members(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, te
     shown, names = features(sample, lexicon, "domain")
     stats = shown.groupBy("domain").agg(F.count("*").alias("n"), *(f(n).alias(f"{k}_{n}") for n in names for f, k in ((F.avg, "m"), (F.var_pop, "v"))))
     rows = {r.domain: r.asDict() for r in stats.collect()}
-    every, _ = features(measured(docs, "doc_id"), lexicon, "doc_id")
-    logs = every.select("doc_id", "n_tokens", posterior(names, rows).alias("g"))
+    every, _ = features(measured(docs, "doc_id", *more), lexicon, "doc_id", *more)
+    own = ("doc_id", "n_tokens", *more)
+    logs = every.select(*own, posterior(names, rows).alias("g"))
     if rows:
-        odds = logs.select("doc_id", "n_tokens", F.transform("g", lambda v: F.exp(v - F.array_max("g"))).alias("e"))
-        logs = odds.select("doc_id", "n_tokens", F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("g"))
-    return written(logs.select("doc_id", "n_tokens", F.col("g").alias("p")), "members")
+        odds = logs.select(*own, F.transform("g", lambda v: F.exp(v - F.array_max("g"))).alias("e"))
+        logs = odds.select(*own, F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("g"))
+    return written(logs.select(*own, F.col("g").alias("p")), "members")
 
 
 def rate_of(l: np.ndarray) -> Column:
@@ -169,10 +170,10 @@ def multipliers(evaluate: Callable[[np.ndarray], tuple], start: tuple, target: n
     return l, reached
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False, tolerance: float = 1e-3) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False, tolerance: float = 1e-3, budget: float = 1.0) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """members with the column rate, the targets, and the reached totals.
 
-    The budget is the tokens there are or, with grow, the least one for which no domain must shrink.
+    The budget is so many times the tokens there are or, with grow, the least one for which no domain must shrink.
     """
     n = len(DOMAINS)
     p = [F.col("p")[k] for k in range(n)]
@@ -193,13 +194,13 @@ def fit_rates(members: DataFrame, weights: dict[str, float], grow: bool = False,
     now = start[1]
     share = np.array([max(0.0, weights.get(d, 0.0)) for d in DOMAINS])
     share = share / share.sum()
-    budget = max([now[k] / share[k] for k in range(n) if share[k] > 0]) if grow else now.sum()
-    target = share * budget
+    total = max([now[k] / share[k] for k in range(n) if share[k] > 0]) if grow else budget * now.sum()
+    target = share * total
     if not now.sum():
         return members.withColumn("rate", F.lit(1.0)), target, now
-    l, reached = multipliers(evaluate, start, target, budget, tolerance)
-    if (np.abs(reached - target) > tolerance * np.maximum(target, 1e-2 * budget)).any():
-        warnings.warn(f"no rates meet the targets: of {budget:.0f} tokens {dict(zip(DOMAINS, (reached / budget).round(4).tolist(), strict=True))} for {dict(zip(DOMAINS, share.round(4).tolist(), strict=True))}", stacklevel=2)
+    l, reached = multipliers(evaluate, start, target, total, tolerance)
+    if (np.abs(reached - target) > tolerance * np.maximum(target, 1e-2 * total)).any():
+        warnings.warn(f"no rates meet the targets: of {total:.0f} tokens {dict(zip(DOMAINS, (reached / total).round(4).tolist(), strict=True))} for {dict(zip(DOMAINS, share.round(4).tolist(), strict=True))}", stacklevel=2)
     return members.withColumn("rate", rate_of(l)), target, reached
 
 
@@ -214,14 +215,15 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     return rated.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)), F.when(F.col("n_tokens") == 0, 1.0).otherwise(F.col("rate")).alias("rate"), F.lit(missed).alias("missed"))
 
 
-def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, seed: int = 7, **options) -> DataFrame:
-    """The rows of docs, each as often as its rate says.
+def remix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, seed: int = 7, budget: float = 1.0, **options) -> DataFrame:
+    """The rows of docs, each as often as its rate says, for a token budget of so many times the tokens there are.
 
-    A rate's fraction is settled by a hash of doc_id, so that a rerun repeats the same rows. The budget
-    grows: no domain shrinks. Rows are joined to their rates by doc_id; rows that share one share its mean.
+    A rate's fraction is settled by a hash of doc_id and text, so that a rerun repeats the same rows; rows that agree
+    in both go the same way. Rows without tokens keep rate 1.
     """
-    rates = mix(docs, labels, weights, grow=True, **options).groupBy("doc_id").agg(F.avg("rate").alias("_rate"))
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    rows = docs.alias("d").join(rates.withColumnRenamed("doc_id", "_id"), F.col("d.doc_id").eqNullSafe(F.col("_id")))
-    times = F.floor(F.col("_rate") + draw).cast("int")
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[F.col(f"d.{c}") for c in docs.columns])
+    packed = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    members = soft_members(packed, labels, more=("row",), **options)
+    rated = fit_rates(members, weights or TARGETS, budget=budget)[0]
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("row.doc_id"), F.col("row.text")), F.lit(1 << 20)) / float(1 << 20)
+    times = F.when(F.col("n_tokens") == 0, 1).otherwise(F.floor(F.col("rate") + draw)).cast("int")
+    return rated.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")

@@ -42,7 +42,10 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     begin, end = edge[0::2], edge[1::2]
     power, inverse = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * power[: len(data)], out=total[1:])
+    terms = _VALUES[data]
+    terms *= power[: len(data)]
+    np.cumsum(terms, out=total[1:])
+    del terms
     words = mixed((total[end] - total[begin]) * inverse[begin])
     upto = np.searchsorted(begin, ends)
     run = words[: max(0, len(words) - k + 1)].copy()

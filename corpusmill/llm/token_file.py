@@ -12,7 +12,8 @@ be reached by decoding one block.
 Images travel as binary rows of a Spark-written table, which reaches any store that Spark can write.
 
 Defined cases: a null text counts as empty; every document has at least its end id; a null doc_id sorts
-first; rows with the same doc_id are ordered by text; an empty table gives no segment and no row.
+first; rows with the same doc_id are ordered by a hash of the text, then by the text (so that many of them
+spread over the partitions); an empty table gives no segment and no row.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions_for, text_slices, whole_text, work_dir
-from .encoding import BulkEncoder
+from .common import frugal, partitions_for, text_slices, whole_text, work_dir
+from .encoding import bulk_encoder
 
 BLOCK = 256
 MAGIC = b"PFR1"
@@ -120,16 +121,17 @@ _SEGMENTS = "part int, seg int, doc_ids array<bigint>, counts array<int>, image
 _ROWS = "part int, seg int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def write_token_file(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, percentile: float = 90.0, segment_ids: int = 1 << 20) -> None:
+def write_token_file(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, percentile: float = 90.0, segment_ids: int = 1 << 18) -> None:
     """Encode every text, append end_id to each, and write segment images in ascending doc_id order."""
-    texts = docs.select("doc_id", whole_text().alias("text"))
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = texts.repartitionByRange(partitions_for(size, 16 << 20, 4), "doc_id").sortWithinPartitions("doc_id", "text")
+    each = min(max(size >> 12, 16 << 20), 256 << 20)  # more text means larger partitions first, then more of them
+    dealt = texts.repartitionByRange(partitions_for(size, each, 4), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), BulkEncoder(tokenizer_path)
+        part, encoder = TaskContext.get().partitionId(), bulk_encoder(tokenizer_path)
         held: list[np.ndarray] = []
         names: list[int | None] = []
         sizes: list[int] = []
@@ -154,7 +156,8 @@ def write_token_file(docs: DataFrame, tokenizer_path: str, end_id: int, path: st
         if names:
             yield flush()
 
-    dealt.mapInArrow(encode, _SEGMENTS).write.parquet(path)
+    with frugal(docs.sparkSession):
+        dealt.mapInArrow(encode, _SEGMENTS).write.parquet(path)
 
 
 def read_token_file(spark, path: str) -> DataFrame:
