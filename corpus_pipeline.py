@@ -31,7 +31,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat documents by their fitted rates; the token budget grows so that no domain shrinks."""
+    """Repeat or leave out documents by their fitted rates; the token budget is the tokens there are."""
     return mixing.remix(docs, read(spark, sf_dir, "labels"), WEIGHTS)
 
 
