@@ -15,8 +15,10 @@ import json
 import re
 import struct
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 #: Characters that both splitting patterns below classify as the library does.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ſ]*").fullmatch
@@ -95,8 +97,9 @@ class PieceEncoder:
     def _learn(self, pieces: Iterable[str], form) -> None:
         new = list(set(pieces).difference(self.memory))
         if new:
-            if len(self.memory) + len(new) > self.keep:  # of what is known, this text's pieces are the likeliest to come again
-                self.memory = {p: self.memory[p] for p in set(pieces).difference(new)}
+            if len(self.memory) + len(new) > self.keep:
+                self.memory.clear()
+                new = list(set(pieces))
             self.memory.update(zip(new, map(form, map(self._piece, new)), strict=True))
 
     def _piece(self, piece: str) -> list[int]:
@@ -122,17 +125,31 @@ class PieceEncoder:
 class BulkEncoder(PieceEncoder):
     """Ids of many texts at once.
 
-    For the bare layout, texts are cut into pieces by array operations and each distinct piece of a slice
-    (told apart by a 64-bit polynomial hash over its characters) is looked up once.
+    For the bare layout, texts are cut into pieces by array operations. Pieces are told apart by a 64-bit
+    polynomial hash over their characters; the ids of up to `keep` pieces lie in one array, where each distinct
+    piece of a slice is looked up once: by its hash in a sorted array, or among the last ones learnt.
     """
 
+    def __init__(self, path: str, keep: int = 600_000, recent: int = 1 << 15):
+        super().__init__(path, keep)
+        self.most_recent = recent
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.at = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.recent: dict[int, int] = {}
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.store = np.empty(0, np.uint32)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32) and how many each text has."""
+        joined = "\n".join(texts)
+        if self.pieces is not None and self.bare and _PLAIN(joined) and not any(s in joined for s in self.special):
+            return self._bulk(joined, texts)
         plain = [self.pieces is not None and self.bare and bool(_PLAIN(t)) and not any(s in t for s in self.special) for t in texts]
-        ids, counts = self._bulk([t for t, ok in zip(texts, plain, strict=True) if ok])
-        if all(plain):
-            return ids, counts
-        parts, sizes, at, k = [], [], 0, 0
+        good = [t for t, ok in zip(texts, plain, strict=True) if ok]
+        ids, counts = self._bulk("\n".join(good), good)
+        parts, sizes, at, k = [np.empty(0, np.uint32)], [], 0, 0
         for t, ok in zip(texts, plain, strict=True):
             if ok:
                 parts.append(ids[at : at + counts[k]])
@@ -142,9 +159,44 @@ class BulkEncoder(PieceEncoder):
             sizes.append(len(parts[-1]))
         return np.concatenate(parts), np.array(sizes, np.int64)
 
-    def _bulk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _places(self, hashes: np.ndarray, lowered: str, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where in start and size each piece is."""
+        table = pa.array(hashes).dictionary_encode()
+        which, distinct = table.indices.to_numpy(), table.dictionary.to_numpy()
+        if len(self.start) + len(distinct) > self.keep:
+            self._forget()
+        got = np.full(len(distinct), -1, np.int64)
+        if len(self.known):
+            near = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+            hit = self.known[near] == distinct
+            got[hit] = self.at[near[hit]]
+        rest = np.flatnonzero(got < 0)
+        keys = distinct[rest].tolist()
+        got[rest] = [self.recent.get(k, -1) for k in keys]
+        new = np.flatnonzero(got[rest] < 0)
+        if len(new):
+            first = np.empty(len(distinct), np.int64)
+            first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+            first = first[rest[new]]
+            ids = [self._piece(lowered[a:b]) for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+            size = np.fromiter(map(len, ids), np.int32, len(ids))
+            places = np.arange(len(self.start), len(self.start) + len(new))
+            self.start = np.concatenate((self.start, len(self.store) + np.cumsum(size, dtype=np.int64) - size))
+            self.size = np.concatenate((self.size, size))
+            self.store = np.concatenate((self.store, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))))
+            got[rest[new]] = places
+            self.recent.update(zip((keys[i] for i in new.tolist()), places.tolist(), strict=True))
+            if len(self.recent) > self.most_recent:
+                known = np.concatenate((self.known, np.fromiter(self.recent, np.uint64, len(self.recent))))
+                at = np.concatenate((self.at, np.fromiter(self.recent.values(), np.int32, len(self.recent))))
+                order = np.argsort(known)
+                self.known, self.at, self.recent = known[order], at[order], {}
+        return got[which]
+
+    def _bulk(self, joined: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
-        chars = np.frombuffer(("\n".join(texts) + "\n\n\n").lower().encode("utf-32-le"), np.uint32)
+        lowered = (joined + "\n\n\n").lower()
+        chars = np.frombuffer(lowered.encode("utf-32-le"), np.uint32)
         kind = _KIND[chars]
         starts = np.empty(len(kind), bool)
         starts[0] = True
@@ -163,29 +215,24 @@ class BulkEncoder(PieceEncoder):
         begin = np.flatnonzero(starts)
         if not len(begin):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        cut = starts | (kind == 0)
-        cuts = np.flatnonzero(cut)
-        end = cuts[np.searchsorted(cuts, begin, "right")]
+        # A piece ends where the next starts or a space follows.
+        cuts = np.flatnonzero(starts | (kind == 0))
+        end = cuts[np.flatnonzero(starts[cuts]) + 1]
         power, inverse = _powers(len(chars))
         total = np.empty(len(chars) + 1, np.uint64)
         total[0] = 0
         terms = _VALUE[chars]
         terms *= power[: len(chars)]
         np.cumsum(terms, out=total[1:])
-        del terms, chars, kind, cut
-        hashes = (total[end] - total[begin]) * inverse[begin]
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        lowered = ("\n".join(texts) + "\n").lower()
-        words = [lowered[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-        self._learn(words, _packed)
-        packed = list(map(self.memory.__getitem__, words))
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        offsets, each = np.cumsum(sizes) - sizes, sizes[which]
+        del terms, chars, kind, starts, cuts
+        place = self._places((total[end] - total[begin]) * inverse[begin], lowered, begin, end)
+        del total
+        each = self.size[place].astype(np.int64)
         after = np.cumsum(each)
-        index = np.repeat(offsets[which] - (after - each), each) + np.arange(after[-1])
-        ids = np.frombuffer(b"".join(packed), "<u4")[index]
+        index = np.repeat(self.start[place] - (after - each), each)
+        index += np.arange(after[-1])
         upto = np.concatenate(([0], after))[np.searchsorted(begin, ends)]
-        return ids, np.diff(upto, prepend=0)
+        return self.store[index], np.diff(upto, prepend=0)
 
 
 @functools.lru_cache(maxsize=1)
