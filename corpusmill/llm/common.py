@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute
@@ -58,16 +59,28 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     with frugal(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
+    if (made := _MADE.get()) is not None:
+        made.append((path, out))
     return out
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of written() that nothing will read again."""
-    for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path.getParent(), True)
+_MADE: ContextVar[list[tuple[str, DataFrame]] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables written inside are deleted at the end, but for those put in the list this gives."""
+    keep: list[DataFrame] = []
+    mark = _MADE.set([])
+    try:
+        yield keep
+    finally:
+        made = _MADE.get()
+        _MADE.reset(mark)
+        for path, table in made:
+            if not any(table is k for k in keep):
+                where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path).getParent()
+                where.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

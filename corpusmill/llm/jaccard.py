@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_for, text_slices, whole_text, written
+from .common import partitions_for, scratch, text_slices, whole_text, written
 from .shingles import mixed, set_digest, shingle_sets
 
 COARSE = 256
@@ -430,21 +430,24 @@ def _unsettled(regions: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _resolved(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """The points of the documents, and each class of equal sets with its component's label and smallest doc_id."""
-    points = written(_points(docs, k), "documents")
-    classes = written(points.where("n_shingles > 0").groupBy("point", "check", "n_shingles").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest")), "classes")
-    windows = Windows(threshold)
-    entries = points.agg(F.sum(F.col("n_shingles") * 0.4 + 2)).first()[0] or 0
-    regions = written(_shared_regions(docs, k, windows, partitions_for(entries * 12, 6 << 20, 12)), "regions")
-    candidates = classes.join(regions.select("point").distinct(), "point", "left_semi")
-    coarse_sets = written(_sets(docs, candidates.select("first", "digest"), k), "sets")
-    coarse = coarse_sets.select("point", "coarse").join(candidates.select("point", "n_shingles"), "point")
-    labels = _join_regions(regions, written(coarse, "coarse"), coarse_sets.select("point", "members"), threshold)
-    named = labels.join(classes.select("point", "first"), "point")
-    smallest = written(named.groupBy("label").agg(F.min("first").alias("component")), "smallest")
-    of_class = named.join(smallest, "label").select("point", "label", "component")
-    # A label is the smallest point of its component, so a class that links with nothing is named by its own.
-    resolved = classes.join(of_class, "point", "left").select("point", "check", F.coalesce("label", "point").alias("label"), F.coalesce("component", "first").alias("component"))
-    return points, written(resolved, "resolved")
+    with scratch() as keep:
+        points = written(_points(docs, k), "documents")
+        classes = written(points.where("n_shingles > 0").groupBy("point", "check", "n_shingles").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest")), "classes")
+        windows = Windows(threshold)
+        entries = points.agg(F.sum(F.col("n_shingles") * 0.4 + 2)).first()[0] or 0
+        regions = written(_shared_regions(docs, k, windows, partitions_for(entries * 12, 6 << 20, 12)), "regions")
+        candidates = classes.join(regions.select("point").distinct(), "point", "left_semi")
+        coarse_sets = written(_sets(docs, candidates.select("first", "digest"), k), "sets")
+        coarse = coarse_sets.select("point", "coarse").join(candidates.select("point", "n_shingles"), "point")
+        labels = _join_regions(regions, written(coarse, "coarse"), coarse_sets.select("point", "members"), threshold)
+        named = labels.join(classes.select("point", "first"), "point")
+        smallest = written(named.groupBy("label").agg(F.min("first").alias("component")), "smallest")
+        of_class = named.join(smallest, "label").select("point", "label", "component")
+        # A label is the smallest point of its component, so a class that links with nothing is named by its own.
+        resolved = classes.join(of_class, "point", "left").select("point", "check", F.coalesce("label", "point").alias("label"), F.coalesce("component", "first").alias("component"))
+        resolved = written(resolved, "resolved")
+        keep += [points, resolved]
+    return points, resolved
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
