@@ -1,14 +1,15 @@
 """PII surrogates: detected entities receive keyed, type-consistent replacements.
 
-An entity is a type and a normal form (a phone number's digits, say), so that differently written
+An entity is a type and a normal form (a phone number's last nine digits, say), so that differently written
 mentions of one entity meet. Its surrogate comes from a keyed hash: it has the same type, length,
 character classes, separators, country prefix or first digits, valid check digits where the original's
-are valid, and for person names the same title, gender, script and case. Equal entities get equal
-surrogates everywhere, which keeps coreference.
+are valid, for person names the same title, gender, script and case, and for secrets the same issuer's
+prefix. Equal entities get equal surrogates everywhere, which keeps coreference.
 
 Distinctness is checked over the whole corpus: the distinct entities propose surrogates in rounds; where
 two propose the same, or one proposes what is itself an entity of the corpus, all but one go to their
-next attempt. Only entities with a later attempt (the exceptions) have to be remembered. They are few;
+next attempt. Later attempts may be longer than the original, so that mail addresses, names and secrets don't
+run out however many of one pattern there are. Only entities with a later attempt (the exceptions) have to be remembered. They are few;
 up to `most_exceptions` of them travel as a broadcast, beyond it they are joined to their documents.
 Texts are read twice and, unless there are that many exceptions, never shuffled.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -40,7 +42,17 @@ TITLES = {"Mr": "m", "Herr": "m", "Sr": "m", "Monsieur": "m", "Mrs": "f", "Ms":
 SYLLABLES = {"latin": "ba be bo da de do fa fe ga go ka ke la le lo ma me mo na ne no ra re ri ro sa se ta te to va ve".split(), "cyrillic": "ба бе бо да де до га го ка ке ла ле ма ме на не ра ре са се та те".split()}
 _GENDER = {n.lower(): g for (_, g), names in NAMES.items() for n in names}
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+#: How secrets begin that carry their issuer's prefix. A secret's own part is its pattern's last group.
+_SECRETS = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)([A-Z0-9]{16})(?![A-Za-z0-9])|(?:gh[opsur]_|github_pat_|glpat-)([A-Za-z0-9_]{20,})"
+    r"|[spr]k_(?:live|test)_([A-Za-z0-9]{16,})|xox[abeoprs]-([A-Za-z0-9-]{10,})|AIza([A-Za-z0-9_-]{35})|sk-([A-Za-z0-9_-]{20,})"
+    r"|eyJ([A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*))"
+)
+_ASSIGNED = re.compile(r"(?i)(?:pass(?:word|wd|phrase)|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?)[\"']?[ \t]*(?:=>|:=|[:=])[ \t]*(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|([^\s\"',;<>]{6,}))")
+_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(.*?)-----END [A-Z ]*PRIVATE KEY-----", re.DOTALL)
+_HINTS = ("AKIA", "ASIA", "gh", "glpat-", "k_", "xox", "AIza", "sk-", "eyJ")
+_IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9A-Fa-f])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])")
 #: Groups of a phone number and what stands between them: blanks, dots, slashes and hyphens, or a bracket alone.
 _GROUP, _GAP = r"(?:\(\d{1,6}\)|\d{1,15})", r"[ \u00a0\u202f.\-\u2010-\u2013/]"
@@ -155,9 +167,11 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     out = []
     at = text.find("@")
     while at >= 0:
-        local, domain = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1)
-        if local and domain and local[0].strip("."):
-            start = local.start() + len(local[0]) - len(local[0].lstrip("."))
+        start, domain = at, _DOMAIN.match(text, at + 1)
+        while domain and start and text[start - 1] in _LOCAL:
+            start -= 1
+        start += len(text[start:at]) - len(text[start:at].lstrip("."))
+        if domain and start < at:
             out.append((start, domain.end(), "email", text[start : domain.end()].lower()))
         at = text.find("@", at + 1)
     digit = _DIGIT(text)
@@ -169,13 +183,19 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if kind == "card" and not 13 <= len(digits) <= 19:
             continue
         if kind == "phone":
-            out += [(i, j, kind, _digits(text[i:j])) for i, j in _phones(text, m.start(), m.end())]
+            out += [(i, j, kind, _digits(text[i:j])[-9:]) for i, j in _phones(text, m.start(), m.end())]
             continue
         out.append((m.start(), m.end(), kind, value if kind == "ip" else digits))
     for m in _IBAN.finditer(text) if digit else ():
         flat = m[0].replace(" ", "")
         if 15 <= len(flat) <= 34 and _mod97(flat) == 1:
             out.append((m.start(), m.end(), "iban", flat))
+    for m in _IPV6.finditer(text) if "::" in text or text.count(":") > 6 else ():
+        try:
+            out.append((m.start(), m.end(), "ipv6", ipaddress.IPv6Address(m[0]).exploded))
+        except ValueError:
+            continue
+    out += _secrets(text)
     out += _persons(text)
     out.sort(key=lambda e: (e[0], -e[1]))
     kept, upto = [], -1
@@ -186,6 +206,18 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return kept
 
 
+def _secrets(text: str) -> list[tuple[int, int, str, str]]:
+    """Keys with an issuer's prefix, what a secret's name is set to, and the bodies of private keys."""
+    out = []
+    patterns = [_SECRETS] * any(h in text for h in _HINTS) + [_ASSIGNED] * any(c in text for c in "=:") + [_BLOCK] * ("PRIVATE KEY-----" in text)
+    for pattern in patterns:
+        for m in pattern.finditer(text):
+            i = m.lastindex
+            if i and m[i].strip() and any(map(str.isalnum, m[i])) and (pattern is not _ASSIGNED or any(map(str.isdigit, m[i]))):
+                out.append((m.start(i), m.end(i), "secret", m[i]))
+    return out
+
+
 class Draw:
     """A keyed stream of choices."""
 
@@ -218,7 +250,13 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int = 0) -> str:
         local, _, domain = normal.partition("@")
         *labels, top = domain.split(".")
         # The domain's own stream leaves out the attempt: people of one domain stay together.
-        return f"{draw.like(local)}@{Draw(key, 'domain', domain).like('.'.join(labels))}.{top}"
+        return f"{draw.like(local)}{draw.like('a' * (attempt // 4))}@{Draw(key, 'domain', domain).like('.'.join(labels))}.{top}"
+    if kind == "secret":
+        return draw.like(normal) + draw.like("a" * (attempt // 4))
+    if kind == "ipv6":
+        # Groups of zeros stay, at first, so that a short form stays as short.
+        groups = normal.split(":")
+        return ":".join(f"{1 + draw.below(16 ** len(g.lstrip('0')) - 1):04x}" if int(g, 16) or attempt > 4 + i else g for i, g in enumerate(groups)) if attempt <= 4 else ":".join(f"{draw.below(1 << 16):04x}" for _ in groups)
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "ssn":
@@ -228,15 +266,14 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int = 0) -> str:
         valid = -_luhn(body + "0") % 10
         return body + str(valid if _luhn(normal) == 0 else (valid + 1 + draw.below(9)) % 10)
     if kind == "phone":
-        lead = max(1, len(normal) - 10)
-        return normal[:lead] + draw.like(normal[lead:])
+        return draw.like(normal)
     if kind == "iban":
         body = draw.like(normal[4:])
         return f"{normal[:2]}{98 - _mod97(normal[:2] + '00' + body):02d}{body}"
     gender, _, name = normal.partition("|")
     script = "cyrillic" if re.search("[а-яё]", name) else "latin"
     words = name.split()
-    family = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(4))
+    family = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(4 + attempt // 4))
     given = NAMES[script, gender or "fm"[draw.below(2)]]
     # The original's gender mark stays, so that surrogates and entities compare as equals.
     return f"{gender}|{' '.join([given[draw.below(len(given))].lower()] * (len(words) > 1) + [family])}"
@@ -245,8 +282,14 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int = 0) -> str:
 def render(original: str, kind: str, normal: str) -> str:
     """A normal form written in the original's format."""
     if kind in ("ssn", "card", "phone"):
-        digits = iter(normal)
+        # What a phone number has before its last nine digits (country, area) stays.
+        lead = sum(map(str.isdigit, original)) - len(normal)
+        digits = iter(_digits(original)[:lead] + normal)
         return "".join(next(digits) if c.isdigit() else c for c in original)
+    if kind == "ipv6":
+        short = original.lower() != ipaddress.IPv6Address(original).exploded
+        text = ipaddress.IPv6Address(normal).compressed if short else normal
+        return text.upper() if original.upper() == original else text
     if kind == "iban":
         chars = iter(normal)
         return "".join(next(chars) if c != " " else c for c in original)
@@ -275,7 +318,7 @@ def entities(docs: DataFrame) -> DataFrame:
     return docs.select("text").where(F.col("text").isNotNull()).mapInArrow(spot, _MENTION).distinct()
 
 
-def exceptions(known: DataFrame, key: bytes, rounds: int = 40) -> DataFrame:
+def exceptions(known: DataFrame, key: bytes, rounds: int = 60) -> DataFrame:
     """kind, normal and attempt of the entities whose first surrogate was taken; known: written, distinct."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,19 +329,19 @@ def exceptions(known: DataFrame, key: bytes, rounds: int = 40) -> DataFrame:
     schema = "kind string, normal string, attempt int, made string"
     names = known.select("kind", F.col("normal").alias("made"), F.lit(1).alias("_real"))
     order = Window.partitionBy("kind", "made").orderBy("attempt", F.xxhash64("normal"), "normal")
-    table = written(known.withColumn("attempt", F.lit(0)).mapInArrow(propose, schema), "surrogates")
+    table = known.withColumn("attempt", F.lit(0)).mapInArrow(propose, schema)
     for _ in range(rounds):
         # Settled surrogates come first in their group, whatever their attempt was: losers only move on.
-        marked = table.join(names, ["kind", "made"], "left").withColumn("_place", F.row_number().over(order))
+        placed = table.join(names, ["kind", "made"], "left").withColumn("_place", F.row_number().over(order))
         loses = (F.col("_place") > 1) | F.col("_real").isNotNull()
-        if marked.where(loses).limit(1).count() == 0:
+        marked = written(placed.select("kind", "normal", "attempt", "made", loses.alias("loses")), "surrogates")
+        if marked.where("loses").limit(1).count() == 0:
             break
-        kept = marked.where(~loses).select("kind", "normal", "attempt", "made")
-        moved = marked.where(loses).select("kind", "normal", (F.col("attempt") + 1).alias("attempt")).mapInArrow(propose, schema)
-        table = written(kept.unionByName(moved), "surrogates")
+        moved = marked.where("loses").select("kind", "normal", (F.col("attempt") + 1).alias("attempt")).mapInArrow(propose, schema)
+        table = marked.where("NOT loses").drop("loses").unionByName(moved)
     else:
         raise RuntimeError("some type of entity leaves no room for distinct surrogates")
-    return table.where("attempt > 0").select("kind", "normal", "attempt")
+    return marked.where("attempt > 0").select("kind", "normal", "attempt")
 
 
 def pseudonymize(docs: DataFrame, key: bytes, most_exceptions: int = 100_000) -> DataFrame:
