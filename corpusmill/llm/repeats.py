@@ -8,8 +8,9 @@ all: a string is repeated where its bucket holds several suffixes.
    Equal strings of `length` bytes have their anchor at the same offset, so a string can only be repeated
    if its anchor's bucket is.
 2. Refinement. Suffixes whose anchors share a bucket are sorted on the pair of bucket identifiers
-   at offset 0 and at a later offset: h -> 2h from (id_h(p), id_h(p + h)), the last step overlapping, with each
-   step's identifiers used by the next, until they tell apart strings of `length` bytes.
+   at offset 0 and at a later offset: h -> 2h from (id_h(p), id_h(p + h)), the last step overlapping. After each
+   sort, suffixes that are alone in their bucket are settled: they, and those that point at them, are left out
+   of the next step, which uses the identifiers of this one, until buckets tell apart strings of `length` bytes.
 
 Anchors of a bucket are refined together; a bucket with many anchors is split over `SPLIT`-sized tasks.
 What is unique in its part is then compared across the parts in a second sort. Documents with equal
@@ -50,14 +51,38 @@ def gram_ids(data: np.ndarray, q: int) -> np.ndarray:
     return mixed((total[q:] - total[:-q]) * inverse[:n], 41)
 
 
-def refined(ids: np.ndarray, q: int, length: int) -> np.ndarray:
-    """Identifiers for `length` bytes from those for q bytes, by pairs of identifiers at later offsets."""
-    h = q
+def shared(ids: np.ndarray) -> np.ndarray:
+    """Which identifiers occur more than once."""
+    order = np.argsort(ids)
+    same = ids[order[1:]] == ids[order[:-1]]
+    several = np.zeros(len(ids), bool)
+    several[order[1:][same]] = True
+    several[order[:-1][same]] = True
+    return several
+
+
+def refined(ids: np.ndarray, at: np.ndarray, keep: np.ndarray, q: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the suffixes may begin a repeated string of `length` bytes, and their identifiers for it.
+
+    ids: of q bytes at all places; at: the suffixes' places; keep: suffixes that stay though they're alone here.
+    """
+    steps, h = [], q
     while h < length:
-        step = min(h, length - h)
-        ids = mixed(mixed(ids[:-step] if step else ids, 42) + ids[step:], 43)
-        h += step
-    return ids
+        steps.append(min(h, length - h))
+        h += steps[-1]
+
+    def paired(own: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
+        return mixed(mixed(own, 42) + pointed(at + steps[level], level), 43)
+
+    def pointed(at: np.ndarray, level: int) -> np.ndarray:
+        return ids[at] if not level else paired(pointed(at, level - 1), at, level - 1)
+
+    chosen, own = np.arange(len(at)), ids[at]
+    for level in range(len(steps)):
+        some = np.flatnonzero(shared(own) | keep[chosen])
+        chosen, at = chosen[some], at[some]
+        own = paired(own[some], at, level)
+    return chosen, own
 
 
 def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
@@ -213,19 +238,25 @@ def _refine_parts(strings: DataFrame, length: int, buckets: int) -> DataFrame:
             return
         digests, number = np.unique(np.array([r[0] for r in rows], "S16"), return_inverse=True)
         number = number.astype(np.int32)
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        step = 2000
-        for i in range(0, len(rows), step):
-            some = rows[i : i + step]
-            sizes = np.array([len(r[3]) for r in some])
-            ids = refined(gram_ids(np.frombuffer(b"".join(r[3] for r in some), np.uint8), GRAM), GRAM, length)
-            base, count = np.cumsum(sizes) - sizes, sizes - length + 1
-            row = np.repeat(np.arange(len(some)), count)
-            offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            for k, x in enumerate((ids[base[row] + offset], number[i : i + step][row], (np.array([r[1] for r in some])[row] + offset).astype(np.int32), np.array([r[2] for r in some])[row])):
-                out[k].append(x)
+        sizes = np.array([len(r[3]) for r in rows])
+        grams, base = [], np.zeros(len(rows), np.int64)
+        for i in range(0, len(rows), 2000):
+            some, before = sizes[i : i + 2000], sum(map(len, grams))
+            base[i : i + 2000] = before + np.cumsum(some) - some
+            grams.append(gram_ids(np.frombuffer(b"".join(r[3] for r in rows[i : i + 2000]), np.uint8), GRAM))
+        ids, count = np.concatenate(grams), sizes - length + 1
+        del grams
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), count)
+        offset = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
+        first, hot = np.array([r[1] for r in rows], np.int32), np.array([r[2] for r in rows], bool)
         del rows
-        ids, keys, at, hot = _distinct(*(np.concatenate(x) for x in out))
+        chosen, ids = refined(ids, base[row] + offset, hot[row], GRAM, length)
+        if not len(chosen):
+            return
+        row = row[chosen]
+        out = (ids, number[row], first[row] + offset[chosen], hot[row])
+        del ids, offset
+        ids, keys, at, hot = _distinct(*out)
         same = np.zeros(len(ids), bool)
         same[1:] = ids[1:] == ids[:-1]
         repeated = same.copy()
