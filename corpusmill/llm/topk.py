@@ -10,7 +10,8 @@ candidates may still be among its k best; those are scored exactly, and the bloc
 Defined cases: vectors that are null, empty, or hold a null or non-finite component take no part;
 missing components of a shorter vector count as 0; a query has no row for itself, that is for its own
 vec_id; repeated query rows are answered once, repeated candidate rows each count; null ids take no part.
-Components are taken as exact up to a magnitude of 2**20 after scaling.
+Components are 64-bit integers after scaling and scores are exact; a query that fails to fit (a component of
+2**53 or more after scaling, a score beyond 64 bits) raises an error rather than giving a wrong score.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and the integer components of the vectors that take part."""
     whole = vectors.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v")).where(F.col("vec_id").isNotNull() & (F.size("v") > 0))
     sound = whole.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    return sound.select("vec_id", F.transform("v", lambda x: F.floor(x * 256)).alias("v"))
+    scaled = sound.select("vec_id", F.transform("v", lambda x: F.floor(x * 256)).alias("v"))
+    fits = F.forall("v", lambda x: F.abs(x) < 1 << 53)
+    return scaled.select("vec_id", F.when(fits, F.col("v")).otherwise(F.raise_error(F.lit("a vector's components exceed 2**53 after scaling"))).alias("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     lists = column.to_pylist()
-    out = np.zeros((len(lists), max(map(len, lists), default=0)))
+    out = np.zeros((len(lists), max(map(len, lists), default=0)), np.int64)
     for i, x in enumerate(lists):
         out[i, : len(x)] = x
     return out
@@ -49,7 +52,7 @@ def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         x = _matrix(table.column("v").combine_chunks())
         size = np.abs(x)
-        top = int(size.max(initial=1)).bit_length()
+        top = int(size.max(initial=1)).bit_length()  # floats hold sizes under 2**53 exactly
         level = np.maximum(0, np.ceil(np.log2(np.maximum(size, 1) + 0.5)).astype(int) - (top - LEVELS + 1))  # by powers of two, the low ones together
         out = {k: [] for k in ("level", "rows", "columns", "impacts")}
         for k in range(level.max(initial=0), -1, -1):
@@ -57,7 +60,7 @@ def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
             out["level"].append(k)
             out["rows"].append(row.astype("<i4").tobytes())
             out["columns"].append(column.astype("<i4").tobytes())
-            out["impacts"].append(x[row, column].astype("<i4").tobytes())
+            out["impacts"].append(x[row, column].astype("<i8").tobytes())
         ids = np.array(table.column("vec_id").to_pylist(), "<i8").tobytes()
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "ids": [ids], "dims": pa.array([x.shape[1]], pa.int32()), **{k: [v] for k, v in out.items()}}).cast(_schema())
 
@@ -69,14 +72,32 @@ def _schema() -> pa.Schema:
     return pa.schema([("block", pa.int32()), ("ids", pa.binary()), ("dims", pa.int32()), ("level", pa.list_(pa.int32())), ("rows", lists), ("columns", lists), ("impacts", lists)])
 
 
+def _products(queries: np.ndarray, x: np.ndarray, q_at: np.ndarray, c_at: np.ndarray) -> np.ndarray:
+    """The integer inner products of pairs of rows."""
+    most = np.sqrt((queries.astype(float) ** 2).sum(axis=1)).max(initial=0) * np.sqrt((x.astype(float) ** 2).sum(axis=1)).max(initial=0)
+    if most < 2**52:  # no partial sum is longer, so doubles hold each
+        return np.einsum("ij,ij->i", queries.astype(float)[q_at], x.astype(float)[c_at]).astype(np.int64)
+    if most < 2**62:
+        return np.einsum("ij,ij->i", queries[q_at], x[c_at])
+    sums = [sum(a * b for a, b in zip(queries[q].tolist(), x[c].tolist(), strict=True)) for q, c in zip(q_at.tolist(), c_at.tolist(), strict=True)]
+    return np.array(sums, object).astype(np.int64) if all(-(1 << 63) <= s < 1 << 63 for s in sums) else _overflow()
+
+
+def _overflow():
+    raise OverflowError("a score exceeds 64 bits")
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, segments: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Query positions, candidate positions and scores of each query's k best of one block; and the levels read."""
+    whole, queries = queries, queries.astype(float)
     dims, n = queries.shape[1], len(ids)
-    x = np.zeros((n, dims))
+    x = np.zeros((n, dims), np.int64)
     length = np.sqrt((queries**2).sum(axis=1))
     rest = np.zeros(n)
     for row, _, impact in segments:
         rest += np.bincount(row, impact.astype(float) ** 2, n)
+    rounding = 4e-16 * (dims + len(segments)) * np.sqrt(rest)  # of a score, for a query of length 1
+    fading = 4e-16 * (dims + len(segments)) * rest  # of a rest
     own = query_ids[:, None] == ids[None, :]
     score = np.zeros((len(queries), n))
     read = 0
@@ -84,12 +105,13 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, se
     for row, column, impact in segments:
         if read and (possible.sum(axis=1) <= max(4 * k, n // 50)).all():
             break
-        part = np.zeros((n, dims))
-        part[row, column] = impact
-        x += part
-        score += queries @ part.T
+        x[row, column] = impact
+        touched = np.unique(row)
+        part = np.zeros((len(touched), dims))
+        part[np.searchsorted(touched, row), column] = impact
+        score[:, touched] += queries @ part.T
         rest = np.maximum(0, rest - np.bincount(row, impact.astype(float) ** 2, n))
-        slack = length[:, None] * np.sqrt(rest)[None, :] * (1 + 1e-9) + 1e-6
+        slack = length[:, None] * (np.sqrt(rest + fading) + rounding)[None, :] * (1 + 1e-9) + 1e-6
         low = np.where(own, -np.inf, score - slack)
         bar = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(queries), -np.inf)
         possible = ~own & (score + slack >= bar[:, None])
@@ -97,7 +119,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, se
     for row, column, impact in segments[read:]:  # the rest of the postings, for exact scores of possible members
         x[row, column] = impact
     q_at, c_at = np.nonzero(possible)
-    exact = np.einsum("ij,ij->i", queries[q_at], x[c_at]).astype(np.int64)
+    exact = _products(whole, x, q_at, c_at)
     order = np.lexsort((ids[c_at], -exact, q_at))
     q_at, c_at, exact = q_at[order], c_at[order], exact[order]
     place = np.arange(len(q_at)) - np.searchsorted(q_at, q_at)
@@ -114,7 +136,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     index = written(build_index(candidates, blocks), "index")
 
     def bundle(table: pa.Table) -> pa.Table:
-        x = _matrix(table.column("v").combine_chunks()).astype("<i4")
+        x = _matrix(table.column("v").combine_chunks()).astype("<i8")
         ids = np.array(table.column("vec_id").to_pylist(), "<i8")
         return pa.table({"query_block": pa.array([table.column("query_block")[0].as_py()], pa.int32()), "query_ids": [ids.tobytes()], "query_dims": pa.array([x.shape[1]], pa.int32()), "queries": [x.tobytes()]})
 
@@ -127,10 +149,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
             for r in batch.to_pylist():
                 qd, d = r["query_dims"], r["dims"]
                 width = max(qd, d)
-                q = np.zeros((len(r["query_ids"]) // 8, width))
-                q[:, :qd] = np.frombuffer(r["queries"], "<i4").reshape(-1, qd)
+                q = np.zeros((len(r["query_ids"]) // 8, width), np.int64)
+                q[:, :qd] = np.frombuffer(r["queries"], "<i8").reshape(-1, qd)
                 ids, query_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["query_ids"], "<i8")
-                segments = [tuple(np.frombuffer(b, "<i4") for b in s) for s in zip(r["rows"], r["columns"], r["impacts"], strict=True)]
+                segments = [tuple(np.frombuffer(b, kind) for b, kind in zip(s, ("<i4", "<i4", "<i8"), strict=True)) for s in zip(r["rows"], r["columns"], r["impacts"], strict=True)]
                 q_at, c_at, score, _ = search_block(q, query_ids, ids, segments, k)
                 yield pa.RecordBatch.from_arrays([pa.array(query_ids[q_at]), pa.array(ids[c_at]), pa.array(score)], names=["query_id", "vec_id", "score"])
 

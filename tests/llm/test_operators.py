@@ -99,6 +99,44 @@ def test_top_k(spark):
     assert len(got) == 30
 
 
+def test_top_k_of_large_components_and_odd_rows(spark):
+    """Exact beyond doubles; unequal lengths, null ids and repeated queries and candidates."""
+    rows = [(50, [1e7, 1.0]), (51, [1e7, 2.0]), (52, [1e7, 1.0 + 2**-8]), (53, [-3e7]), (54, [0.5] * 5), (None, [1e9, 0.0]), (50, [1e7, 1.0]), (55, [1e7, 2.0]), (55, [1e7, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 50"), 5).orderBy("rank").collect()]
+    q = [int(1e7 * 256), 256]
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i not in (None, 50)]
+    best = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in whole)[:5]
+    assert got == [(50, k + 1, i, -s) for k, (s, i) in enumerate(best)] and got[0][3] == 6553600000000131072
+    huge = spark.createDataFrame([(50, [1e10]), (51, [1e10])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="exceed"):
+        topk.top_k(huge, huge, 1).collect()
+
+
+def brute_licenses(text):
+    import re
+
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    places, labels = [], set()
+    for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+        k = phrase.split()
+        at = [i for i in range(len(words) - len(k) + 1) if words[i : i + len(k)] == k]
+        places += at
+        labels |= {label} if at else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_licenses_against_brute_force(spark):
+    rng = random.Random(41)
+    pool = ["MIT", "License", "license", "Apache", "General", "Public", "é", "licensé", "a1", "[the]", "GNU\x7fgeneral", "{", "word"]
+    rows = [(i, rng.choice([" ", "\n", "--", "."]).join(rng.choice(pool) for _ in range(rng.randint(0, 60)))) for i in range(400)]
+    rows += [(None, "MIT License"), (7, None), (8, ""), (8, ""), (9, "x " * 50_000 + "Apache License")]
+    out = licenses.scan_licenses(documents(spark, rows)).collect()
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in out)
+    assert got == Counter((i, *brute_licenses(t)) for i, t in rows)
+    assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in out)
+
+
 def test_mixing_reaches_targets(spark):
     rng = random.Random(5)
     rows, marks = [], []
@@ -115,6 +153,24 @@ def test_mixing_reaches_targets(spark):
     assert mixing.mix(documents(spark, EDGES), labels.limit(0)).count() == len(EDGES)
 
 
+def test_remix_repeats_rows_by_their_rates(spark):
+    """Whole rows with clashing names, null and repeated ids; the expected tokens stay within the budget."""
+    rng = random.Random(43)
+    rows = [(i, " ".join(["junk!!"] * 40) if i % 4 == 1 else text(rng, 50) + (" awful nasty" if i % 4 == 2 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 1), int(i % 4 == 2)) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    every = [*rows, (None, None), (None, text(rng, 50)), (0, rows[0][1])]
+    docs = documents(spark, every).selectExpr("*", "1 AS _rate", "'r' AS row", "2 AS p", "3 AS n_tokens", "4 AS _copy")
+    out = mixing.remix(docs, labels, {"clean": 0.8, "low": 0.1, "toxic": 0.1})
+    assert out.schema == docs.schema or out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert set(got) <= set(every) and got[None, None] == 1
+    clean = [r for r in rows if r[0] % 4 not in (1, 2)]
+    assert all(got[r] >= 1 for r in clean) and sum(got[r] for r in rows if r[0] % 4 == 1) < 100
+    tokens = sum(n * len((t or "").split()) for (_, t), n in got.items())
+    assert abs(tokens / sum(len((t or "").split()) for _, t in every) - 1) < 0.1
+    assert got == Counter((r.doc_id, r.text) for r in mixing.remix(docs, labels, {"clean": 0.8, "low": 0.1, "toxic": 0.1}).collect())
+
+
 def test_mixing_fit_meets_hard_targets(spark):
     """A rare domain, posteriors that overlap, and targets that no rates meet."""
     rare = spark.range(30_000).selectExpr("id AS doc_id", "100L AS n_tokens", "CASE WHEN id = 0 THEN array(0D, 0D, 1D) WHEN id % 10 = 0 THEN array(0D, 1D, 0D) ELSE array(1D, 0D, 0D) END AS p")
@@ -238,6 +294,52 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def brute_tiles(item, text, shortest):
+    """Greedy string tiling as defined: mark the longest matches between unmarked words, again and again."""
+    free_i, free_t, covered = [True] * len(item), [True] * len(text), 0
+    while True:
+        best = []
+        for a in range(len(item)):
+            for b in range(len(text)):
+                n = 0
+                while a + n < len(item) and b + n < len(text) and free_i[a + n] and free_t[b + n] and item[a + n] == text[b + n]:
+                    n += 1
+                best.append((n, -a, -b))
+        n = max(best, default=(0,))[0]
+        if n < shortest:
+            return covered
+        for _, a, b in sorted((m for m in best if m[0] == n), reverse=True):
+            if all(free_i[-a : -a + n]) and all(free_t[-b : -b + n]):
+                free_i[-a : -a + n] = free_t[-b : -b + n] = [False] * n
+                covered += n
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = random.Random(42)
+    items = [(i, text(rng, rng.randint(6, 24))) for i in range(8)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            w = rng.choice(items)[1].split()
+            a = rng.randrange(len(w))
+            words += w[a : a + rng.randint(3, 20)] + text(rng, rng.randint(0, 3)).split()
+        rows.append((i, " ".join(words)))
+    rows += [(None, items[0][1]), (70, None), (71, items[1][1]), (71, items[1][1])]
+    bench = spark.createDataFrame([*items, (20, None), (None, items[2][1])], "item_id bigint, text string")
+    docs = documents(spark, rows)
+    got = Counter((r.doc_id, r.item_id, r.covered) for r in decontam.contaminated(docs, bench).collect())
+    want = Counter()
+    for i, t in rows:
+        for k, item in items:
+            covered = brute_tiles(item.split(), (t or "").split(), 5)
+            if covered >= 0.7 * len(item.split()):
+                want[i, k, covered] += 1
+    assert got == want
+    caught = {i for i, *_ in got}
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench.where("item_id IS NOT NULL")).collect()) == sorted(i for i, _ in rows if i not in caught)
+
+
 def brute_components(rows, k, t):
     sets = {}
     for i, x in rows:
