@@ -1,18 +1,19 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are word sequences (runs of letters and digits, lower-cased). Runs of
+Documents and benchmark items are word sequences (runs of letters and digits, lower-cased; each character of a
+script without spaces is a word). Runs of
 `shortest` words that both hold are the seeds; documents and items meet through them. For each such pair,
 the longest matches between unmarked words are found by running Karp-Rabin hashes at falling lengths and
 marked, never overlapping. Tiles may come in any order, so a passage whose parts were moved about is
 covered as well as a plain copy. A document is contaminated by an item whose words are covered by at
 least `coverage`.
 
-The benchmark is handled in blocks of `block_items` items, each a bounded broadcast with a pass over all
-documents, so it may be of any size; documents are never shuffled.
+The benchmark is handled in blocks of about `block_items` items or `block_bytes` bytes, each a bounded broadcast
+with a pass over all documents, so it may be of any size; documents are never shuffled.
 
 Defined cases: null and empty texts hold no words and match nothing; items with fewer than `shortest`
 words take no part; repeated items each count, repeated documents give repeated rows; null ids are kept
-on documents, items without an id take no part.
+on documents; items without an id take no part in `contaminated`, and drop documents as others do.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import text_slices, whole_text
 
-_WORDS = re.compile(r"[^\W_]+").findall
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_WORDS = re.compile(rf"[^\W_{_UNSPACED}]+|[{_UNSPACED}]").findall
 _MODULUS, _BASE = (1 << 61) - 1, 1_000_003
 
 
@@ -123,21 +125,22 @@ class Items:
                 yield item_id, covered, len(found), covered / len(item)
 
 
-def _blocks(benchmark: DataFrame, shortest: int, coverage: float, block_items: int) -> Iterator[Items]:
-    """The items in blocks; each fetch is bounded by block_items."""
-    rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
-    n = -(-rows.count() // block_items)
+def _blocks(benchmark: DataFrame, shortest: int, coverage: float, block_items: int, block_bytes: int) -> Iterator[Items]:
+    """The items in blocks, which bound each fetch."""
+    rows = benchmark.where(F.col("text").isNotNull()).select("item_id", "text", F.xxhash64("item_id", "text").alias("at"))
+    count, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    n = max(-(-count // block_items), -(-(size or 0) // block_bytes))
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()
-        yield Items(sorted((r.item_id, r.text) for r in part), shortest, coverage)
+        part = rows.where(F.pmod("at", F.lit(n)) == k).collect()
+        yield Items(sorted(((r.item_id, r.text) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1])), shortest, coverage)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, coverage: float = 0.7, block_items: int = 20_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, coverage: float = 0.7, block_items: int = 20_000, block_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, item_id, covered, n_tiles and coverage of each pair over the threshold."""
     texts = docs.select("doc_id", whole_text().alias("text"))
     schema = "doc_id bigint, item_id bigint, covered bigint, n_tiles bigint, coverage double"
     out = None
-    for items in _blocks(benchmark, shortest, coverage, block_items):
+    for items in _blocks(benchmark.where(F.col("item_id").isNotNull()), shortest, coverage, block_items, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -152,10 +155,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, cover
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, coverage: float = 0.7, block_items: int = 20_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, coverage: float = 0.7, block_items: int = 20_000, block_bytes: int = 16 << 20) -> DataFrame:
     """The rows of docs, with all columns, that no item contaminates."""
     names, out = docs.columns, docs
-    for items in _blocks(benchmark, shortest, coverage, block_items):
+    for items in _blocks(benchmark, shortest, coverage, block_items, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

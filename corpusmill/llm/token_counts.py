@@ -5,7 +5,8 @@ A text's count depends on its content and on the tokenizer's version only. The c
 text per distinct digest is encoded, and the new counts are appended.
 
 Content is normalised by taking null as empty and nothing more, since any other change could change the
-count. Appends are atomic by Spark's commit protocol; one writer at a time is assumed per cache.
+count. Appends are atomic by Spark's commit protocol. Writers that append at the same time may both store a
+digest, with the same count; it's read once.
 
 Defined cases: a null text has the digest and the count of the empty one (0); equal texts share one
 entry; a null doc_id is kept; an empty table gives no row; other columns of the table are not read.
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices, whole_text, work_dir
+from .common import text_slices, whole_text, work_dir, written
 from .encoding import PieceEncoder, file_digest
 
 CACHE = "tokenizer string, digest binary, n_tokens bigint"
@@ -60,5 +61,6 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     cache_path = cache_path or f"{work_dir(spark)}/token-cache"
     extend_cache(docs, tokenizer_path, cache_path)
     keys = docs.select("doc_id", whole_text().alias("_text")).select("doc_id", F.octet_length("_text").cast("bigint").alias("n_bytes"), F.unhex(F.sha2("_text", 256)).alias("_digest"))
-    counts = _stored(spark, cache_path, file_digest(tokenizer_path))
+    stored = _stored(spark, cache_path, file_digest(tokenizer_path))
+    counts = written(stored.groupBy("_digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return keys.join(counts, "_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
