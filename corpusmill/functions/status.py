@@ -40,10 +40,57 @@ def date_reason(value: Column, cutoff: Column, as_of: Column) -> Column:
     return F.when(value.isNull(), "date_missing").when(value > as_of + F.expr("INTERVAL 1 DAY"), "date_in_future").when(value < cutoff, "date_before_cutoff").otherwise("accepted")
 
 
+#: A time with a zone has to have its seconds.
+_NO_SECONDS = r"([T ]\d{2}:\d{2})(Z|[+-].*)$"
+
+
 def parse_date(c: Column) -> Column:
-    """A date text as UTC: ISO forms, RFC 2822 (its weekday set aside), and common written forms."""
-    text = F.regexp_replace(F.trim(c), r"^[A-Za-z]{3},\s*", "")
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"), F.try_to_timestamp(text))
-    basic = F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-    forms = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "MM/dd/yyyy", "yyyy/MM/dd"]
-    return F.coalesce(iso, basic, *(F.try_to_timestamp(text, F.lit(f)) for f in forms)).cast("timestamp_ntz")
+    """A date text as UTC: ISO forms (basic and week forms too), RFC 2822 (its weekday set aside), and written forms."""
+    plain = F.trim(c)
+    text = F.regexp_replace(plain, r"^[A-Za-z]{3},\s*", "")
+    zone = r"(Z|[+-]\d{2}(:?\d{2})?)?$"
+    whole = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?" + zone[:-1] + ")?$"), text)
+    padded = F.regexp_replace(F.regexp_replace(whole, r"^(\S{10}[T ]\d{2})(Z|[+-].*)?$", "$1:00$2"), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    iso = F.try_to_timestamp(F.regexp_replace(padded, _NO_SECONDS, "$1:00$2"))
+    basic = F.when(text.rlike(r"^\d{8}(T\d{4}(\d{2})?" + zone[:-1] + ")?$"), text)
+    basic = F.regexp_replace(basic, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    basic = F.regexp_replace(F.regexp_replace(basic, r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3"), r":(?=$|[Z+-])", "")
+    basic = F.regexp_replace(F.regexp_replace(basic, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2"), _NO_SECONDS, "$1:00$2")
+    week = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
+    part = lambda i: F.regexp_extract(text, week, i).try_cast("int")
+    monday = F.date_trunc("week", F.make_date(part(1), F.lit(1), F.lit(4)))
+    by_week = F.when(text.rlike(week) & part(2).between(1, 53), F.date_add(monday.cast("date"), (part(2) - 1) * 7 + F.coalesce(part(3), F.lit(1)) - 1).cast("timestamp"))
+    by_week = F.when(F.weekofyear(by_week) == part(2), by_week)  # not every year has a week 53
+    forms = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy h:mm a", "MMM d, yyyy h:mm a", "yyyy/M/d"]
+    return F.coalesce(iso, F.try_to_timestamp(basic), by_week, *(F.try_to_timestamp(text, F.lit(f)) for f in forms)).cast("timestamp_ntz")
+
+
+def raw_date_reason(raw: Column, cutoff: Column, as_of: Column) -> Column:
+    """As date_reason for a date text; date_invalid where it's no date."""
+    parsed = parse_date(raw)
+    return F.when(F.trim(F.coalesce(raw, F.lit(""))) == "", "date_missing").when(parsed.isNull(), "date_invalid").otherwise(date_reason(parsed, cutoff, as_of))
+
+
+def retry_after(value: Column, as_of: Column) -> Column:
+    """Seconds that a Retry-After header asks for: a number, or an HTTP date less the time now (0 if past)."""
+    until = parse_date(value)
+    return F.when(F.trim(value).rlike(r"^\d+(\.\d+)?$"), F.trim(value).try_cast("double")).when(until.isNotNull(), F.greatest(F.lit(0.0), F.timestamp_diff("SECOND", as_of, until).cast("double")))
+
+
+def evidence(html: Column, html_source: Column, news: Column, rss: Column, url: Column, period: Column, lastmod: Column, hint: Column) -> Column:
+    """array<struct<source, value, confidence>> of a page's date evidence, in order of trust; a hint only if its value is new."""
+    known = [(html_source, html, 1.0), (F.lit("news_sitemap"), news, 0.9), (F.lit("rss"), rss, 0.85), (F.lit("url"), url, 0.75), (F.lit("archive_period"), period, 0.7), (F.lit("lastmod"), lastmod, 0.5)]
+    rows = F.filter(F.array(*[F.struct(s.alias("source"), v.cast("timestamp_ntz").alias("value"), F.lit(c).alias("confidence")) for s, v, c in known]), lambda x: x["value"].isNotNull())
+    extra = F.array(F.struct(F.lit("hint").alias("source"), hint.cast("timestamp_ntz").alias("value"), F.lit(0.8).alias("confidence")))
+    fresh = hint.isNotNull() & ~F.exists(rows, lambda x: x["value"] == hint.cast("timestamp_ntz"))
+    return F.when(fresh, F.concat(rows, extra)).otherwise(rows)
+
+
+def modified_date(html: Column, lastmod: Column) -> Column:
+    """A page's own date of change, else its sitemap's."""
+    return F.coalesce(html, lastmod)
+
+
+def diagnostics(**fields: Column) -> Column:
+    """The fields that aren't null as a JSON object, in order of name."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in sorted(fields.items())]))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from unicodedata import is_normalized, normalize
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Abbreviations, noise patterns and thresholds of the segmentation and quality rules.
 ABBREVIATIONS = (
@@ -25,19 +29,31 @@ def _token(words: list[str]) -> str:
     return rf"(?<=(?<!\w)(?i:{'|'.join(words)})\.)"
 
 
-#: A mark that ends a sentence, with its closing quotes, as one pattern with bounded look-behind.
+#: A mark that ends a sentence, with its closing quotes, as one pattern.
 BOUNDARY = (
-    rf"(?U)(?:[!?]{_END}|(?:(?<!\d)\.|\.(?!\d))(?!\.)(?<!(?i:https?://|www\.)\S{{0,400}})"
+    rf"(?U)(?:[!?]{_END}|(?:(?<!\d)\.|\.(?!\d))(?!\.)"
     rf"(?!{_token(TERMINAL_ABBREVIATIONS)}{_CLOSE}\s*+$)(?!{_token(ABBREVIATIONS)}{_CLOSE}\s*+\S)(?!(?<=(?<!\w)\w\.){_CLOSE}\s*+\p{{L}}){_END}){_CLOSE}"
 )
 
 
-def normalize_text(c: Column) -> Column:
+#: A web address runs to the next white space; no full stop in it ends a sentence.
+_ADDRESS = r"(?i:https?://|www\.)(?U:\S)*"
+_STOP, _CUT = "\u0002", "\u0001"
+
+
+@F.arrow_udf(StringType())
+def nfc(c: pa.Array) -> pa.Array:
+    """Composed characters (NFC)."""
+    return pa.array([x if x is None or is_normalized("NFC", x) else normalize("NFC", x) for x in c.to_pylist()], pa.string())
+
+
+def normalize_text(c: Column, compose: bool = False) -> Column:
     """Soft hyphens gone, space separators plain, runs of blanks (not line feeds) one; null is empty.
 
-    Input is taken as NFC already: Spark has no composing function.
+    Spark has no composing function, so unless compose, input is taken as NFC already; compose sends it through Arrow.
     """
-    spaced = F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "­", ""), r"\p{Zs}", " ")
+    whole = F.coalesce(c, F.lit(""))
+    spaced = F.regexp_replace(F.regexp_replace(nfc(whole) if compose else whole, "­", ""), r"\p{Zs}", " ")
     return F.regexp_replace(F.regexp_replace(spaced, r"[ \t\r\f\x0B]+", " "), r"^\s+|\s+$", "")
 
 
@@ -61,10 +77,13 @@ def sentences(c: Column, allow_unterminated: bool = False) -> Column:
     """array<struct<text, paragraph_index>> of a text; an unterminated tail of a paragraph is dropped."""
 
     def split(p: Column, i: Column) -> Column:
-        parts = F.split(F.regexp_replace(p, BOUNDARY, "$0\u0001"), "\u0001")
+        addresses = F.transform(F.regexp_extract_all(p, F.lit(f"({_ADDRESS})"), 1), lambda a: F.replace(a, F.lit("."), F.lit(_STOP)))
+        pieces = F.zip_with(F.split(p, _ADDRESS), addresses, lambda x, a: F.concat(x, F.coalesce(a, F.lit(""))))
+        held = F.when(p.rlike(r"(?i)https?://|www\."), F.array_join(pieces, "")).otherwise(p)
+        parts = F.split(F.regexp_replace(held, BOUNDARY, f"$0{_CUT}"), _CUT)
         if not allow_unterminated:
             parts = F.slice(parts, 1, F.size(parts) - 1)
-        return F.transform(F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != ""), lambda s: F.struct(s.alias("text"), i.alias("paragraph_index")))
+        return F.transform(F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != ""), lambda s: F.struct(F.replace(s, F.lit(_STOP), F.lit(".")).alias("text"), i.alias("paragraph_index")))
 
     return F.flatten(F.transform(paragraphs(c), split))
 
@@ -73,15 +92,16 @@ def is_quote(c: Column) -> Column:
     return c.rlike("""^["“‘']|["”’»']$""")
 
 
-def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool = False, headlines: bool = False, quote: Column | None = None, headline: Column | None = None, least_score: float = 0.0) -> Column:
-    """The first reason that rejects a normalised sentence, or 'accepted'."""
+def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool = False, headlines: bool = False, quote: Column | None = None, headline: Column | None = None, least_score: float = 0.0, noise_patterns: list[str] | None = None) -> Column:
+    """The first reason that rejects a normalised sentence, or 'accepted'. Limits may be values or columns."""
+    quotes, headlines = (x if isinstance(x, Column) else F.lit(x) for x in (quotes, headlines))
     tokens, lower = token_count(text), F.lower(text)
     alnum = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) / F.greatest(F.lit(1), F.length(text))
-    noise = lower.rlike("(?U)" + "|".join(NOISE))
+    noise = lower.rlike("(?U)" + "|".join(NOISE if noise_patterns is None else noise_patterns or ["(?!)"]))
     rules = [
         (text == "", "empty"),
-        ((headline if headline is not None else F.lit(False)) & F.lit(not headlines), "headline_excluded"),
-        ((quote if quote is not None else F.lit(False)) & F.lit(not quotes), "quote_excluded"),
+        ((headline if headline is not None else F.lit(False)) & ~headlines, "headline_excluded"),
+        ((quote if quote is not None else F.lit(False)) & ~quotes, "quote_excluded"),
         (tokens < low, "too_short"),
         (tokens > high, "too_long"),
         (text.rlike("[<>{}]") | lower.contains("javascript:"), "markup"),
@@ -105,3 +125,13 @@ def words(c: Column) -> Column:
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
+
+
+def sha256(c: Column) -> Column:
+    """SHA-256 of a URL, of raw bytes, or of a configuration's JSON, as an id."""
+    return F.sha2(c, 256)
+
+
+def lowered(c: Column) -> Column:
+    """The stored lower-case form of a sentence."""
+    return F.lower(c)

@@ -22,11 +22,70 @@ def parts(c: Column) -> dict[str, Column]:
     return {"scheme": F.lower(get(1)), "netloc": F.lower(get(2)), "path": get(3), "query": get(4)}
 
 
+def decoded(c: Column) -> Column:
+    """Percent-decoded; a % that begins no escape stands for itself."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25")), c)
+
+
+def domain(c: Column, www: bool = False) -> Column:
+    """The host of a URL or bare host, in lower case, without port and, unless www, without a leading www."""
+    bare = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"^[a-z][a-z0-9+.-]*://", ""), r"[/?#].*$", "")
+    host = F.regexp_replace(F.regexp_replace(bare, "^.*@", ""), r":\d*$", "")
+    return host if www else F.regexp_replace(host, r"^www\.", "")
+
+
+def disallowed_query(c: Column, allowed: bool = False) -> Column:
+    """Whether the query holds more than tracking parameters (blank ones count), or no parameter at all."""
+    query = parts(c)["query"]
+    keys = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.lower(decoded(F.substring_index(x, "=", 1))))
+    return F.lit(not allowed) & (query != "") & ((F.size(keys) == 0) | F.exists(keys, lambda k: ~k.isin(TRACKING)))
+
+
+def accepts_sitemap(c: Column, host: Column, allowed: Column) -> Column:
+    """Whether a sitemap's URL is http(s) and on the source's host or an allowed one; allowed: array<string>."""
+    hosts = F.transform(F.concat(F.array(host), F.coalesce(allowed, F.array().cast("array<string>"))), lambda h: domain(h))
+    return parts(c)["scheme"].isin("http", "https") & F.array_contains(hosts, domain(c))
+
+
+def safe_index_pattern(c: Column, host: Column, shared: Column) -> Column:
+    """Whether a pattern may be asked of an index: http(s) or bare, the source's host, no query, fragment or
+    parameters, and on a shared host more than a wildcard."""
+    full = F.when(c.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.trim(c)).otherwise(F.concat(F.lit("https://"), F.trim(c)))
+    p = parts(full)
+    own = p["scheme"].isin("http", "https") & (domain(full) == domain(host)) & ~full.rlike(r"[?#;]")
+    return F.coalesce(own & ~(shared & p["path"].rlike(r"^[/*]*$")), F.lit(False))
+
+
+def archive_urls(base: Column, prefix: Column, templates: Column, granularity: str, yyyy: Column, mm: Column, dd: Column, date_iso: Column) -> Column:
+    """array<string>: a period's URLs by a source's templates, or by granularity without any.
+
+    A template with a field that isn't known is left out.
+    """
+    fields = {"{domain}": base, "{url_prefix}": prefix, "{yyyy}": yyyy, "{mm}": mm, "{dd}": dd, "{date_iso}": date_iso, "{year}": yyyy.cast("int").cast("string"), "{month}": mm.cast("int").cast("string"), "{day}": dd.cast("int").cast("string")}
+    tail = {"year": "{yyyy}/", "month": "{yyyy}/{mm}/", "day": "{yyyy}/{mm}/{dd}/"}[granularity]
+    own = F.concat(F.regexp_replace(F.concat(F.lit("https://"), F.regexp_replace(base, "/+$", ""), F.lit("/"), F.regexp_replace(F.coalesce(prefix, F.lit("")), "^/+|/+$", "")), "/+$", ""), F.lit("/" + tail))
+    some = F.when(F.size(F.coalesce(templates, F.array().cast("array<string>"))) > 0, templates).otherwise(F.array(own))
+
+    def filled(t: Column) -> Column:
+        for k, v in fields.items():
+            t = F.replace(t, F.lit(k), F.coalesce(v, F.lit("")))
+        return t
+
+    return F.filter(F.transform(some, filled), lambda t: ~t.rlike(r"[{}]"))
+
+
+def page_url(base: Column, page: Column, template: Column) -> Column:
+    """The URL of a further page of a listing."""
+    filled = F.replace(F.replace(template, F.lit("{url}"), F.regexp_replace(base, "/+$", "")), F.lit("{page}"), page.cast("string"))
+    usual = F.when(base.contains("?"), F.concat(base, F.lit("&page="), page.cast("string"))).otherwise(F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/page/"), page.cast("string")))
+    return F.when(page <= 1, base).when(template.isNotNull() & ~filled.rlike(r"[{}]"), filled).otherwise(usual)
+
+
 def normalize_url(c: Column) -> Column:
     """One spelling per page: case, default ports, tracking and blank parameters, order, slashes, fragment."""
     p = parts(c)
     host = F.when(p["scheme"] == "https", F.regexp_replace(p["netloc"], ":443$", "")).when(p["scheme"] == "http", F.regexp_replace(p["netloc"], ":80$", "")).otherwise(p["netloc"])
-    pairs = F.transform(F.filter(F.split(p["query"], "&"), lambda x: x.rlike("^[^=]*=.")), lambda x: F.named_struct(F.lit("k"), F.try_url_decode(F.substring_index(x, "=", 1)), F.lit("v"), F.try_url_decode(F.regexp_replace(x, "^[^=]*=", ""))))
+    pairs = F.transform(F.filter(F.split(p["query"], "&"), lambda x: x.rlike("^[^=]*=.")), lambda x: F.named_struct(F.lit("k"), decoded(F.substring_index(x, "=", 1)), F.lit("v"), decoded(F.regexp_replace(x, "^[^=]*=", ""))))
     kept = F.array_sort(F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(TRACKING)))
     quote = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
     query = F.array_join(F.transform(kept, lambda x: F.concat(quote(x["k"]), F.lit("="), quote(x["v"]))), "&")

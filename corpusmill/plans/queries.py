@@ -39,13 +39,13 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-NORM = r"regexp_replace(regexp_replace(regexp_replace(replace(coalesce(text, ''), chr(173), ''), '\p{Zs}', ' ', 'g'), '[ \t\r\f\x0B]+', ' ', 'g'), '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')"
+NORM = r"regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(coalesce(text, '')), chr(173), ''), '\p{Zs}', ' ', 'g'), '[ \t\r\f\x0B]+', ' ', 'g'), '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')"
 HASH = r"sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g')))"
 
 
 @query(f"SELECT doc_id, {NORM} AS normalized FROM documents")
 def text_normalize(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("normalized"))
+    return table(spark, d, "documents").select("doc_id", T.normalize_text(F.col("text"), compose=True).alias("normalized"))
 
 
 @query(f"SELECT doc_id, {HASH} AS content_hash FROM documents")
@@ -388,13 +388,13 @@ def _xml(spark, d, body: str):
     return table(spark, d, "pages").select("page_id", F.concat(F.lit(before), url, F.lit(after)).cast("binary").alias("content"))
 
 
-@query("SELECT page_id, 'RSS' AS kind, 'A title' AS title, trim(url) AS url, 'Tue, 11 Aug 2026 00:00:00 +0000' AS published FROM pages")
+@query("SELECT page_id, 'RSS' AS kind, 'A title' AS title, trim(url) AS url, TIMESTAMP '2026-08-11 04:00:00' AS published FROM pages")
 def feed_parse(spark, d):
-    rows = _xml(spark, d, "<rss version='2.0'><channel><item><title>A title</title><link>URL</link><pubDate>Tue, 11 Aug 2026 00:00:00 +0000</pubDate></item></channel></rss>")
+    rows = _xml(spark, d, "<rss version='2.0'><channel><item><title>A title</title><link>URL</link><pubDate>Tue, 11 Aug 2026 12:00:00 +0800</pubDate></item></channel></rss>")
     return feeds.read_feeds(rows, "page_id").select("page_id", "kind", F.explode("entries").alias("e")).select("page_id", "kind", "e.title", "e.url", "e.published")
 
 
-@query("SELECT page_id, 'urlset' AS kind, trim(url) AS url, '2026-08-11' AS lastmod FROM pages")
+@query("SELECT page_id, 'urlset' AS kind, trim(url) AS url, TIMESTAMP '2026-08-11' AS lastmod FROM pages")
 def sitemap_parse(spark, d):
     rows = _xml(spark, d, "<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'><url><loc>URL</loc><lastmod>2026-08-11</lastmod></url></urlset>")
     return feeds.read_sitemaps(rows, "page_id").select("page_id", "kind", F.explode("urls").alias("u")).select("page_id", "kind", "u.url", "u.lastmod")

@@ -1,7 +1,7 @@
 """HTML pages to article fields and links, on the standard library's parser in Arrow batches.
 
-The parser's events are kept as flat lists (text with its open tags, metas, anchors, scripts); the rules
-read those. Unclosed tags are tolerated: a paragraph ends where the next one or its container does.
+A page becomes a small tree; rules pick nodes by the selectors that source configurations use: tag, .class,
+#id, [attribute], [attribute='value'], descendants and lists of these. Unclosed tags are tolerated.
 """
 
 from __future__ import annotations
@@ -15,136 +15,307 @@ from urllib.parse import urljoin
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..functions.dates import parse
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_BLOCK = {"p", "div", "section", "article", "main", "body", "li", "ul", "ol", "table", "td", "h1", "h2", "h3", "h4", "blockquote", "header", "footer", "nav", "aside"}
-_SKIP = {"script", "style", "noscript", "nav", "aside", "footer", "form", "iframe", "button"}
-#: Where a date may stand.
-DATE_METAS = ("article:published_time", "datepublished", "pubdate", "date")
-MODIFIED_METAS = ("article:modified_time", "og:updated_time", "datemodified", "last-modified")
+#: Tags whose start ends an open paragraph.
+_BLOCK = set("p div section article main ul ol table h1 h2 h3 h4 h5 h6 blockquote header footer nav aside form pre hr dl figure".split())
+#: Where a date may stand, where bodies are, and what isn't part of them.
+DATE_METAS = (("property", "article:published_time"), ("name", "datePublished"), ("itemprop", "datePublished"), ("property", "og:article:published_time"))
+MODIFIED_METAS = (("property", "article:modified_time"), ("name", "dateModified"), ("itemprop", "dateModified"), ("property", "og:updated_time"))
+DATE_SELECTORS = ("time[datetime]", "[itemprop='datePublished']", "[property='article:published_time']")
+BODY_SELECTORS = (".entry-content", ".post-content", "article .content", "#sports_article_writeup", ".article__writeup", ".story_main .article-body", ".story_main .article_body")
+EXCLUDED = (
+    "nav, footer, header, aside, sidebar, .sidebar, .ads, .ad, .advertisement, .social-share, .comments, .related, .newsletter, .subscribe, .caption, "
+    ".byline, .author, .dateline, .timestamp, .publication-date, .tags, .share, .photo-credit, .embed, .video, script, style, form"
+)
+
+
+class Node:
+    """An element; its children are elements and strings."""
+
+    __slots__ = ("tag", "attrs", "parent", "children", "classes")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
+        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.classes = frozenset(attrs.get("class", "").split())
+
+    def nodes(self) -> Iterator[Node]:
+        """All elements below, in document order."""
+        todo = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while todo:
+            node = todo.pop()
+            yield node
+            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+
+    def strings(self) -> Iterator[str]:
+        todo: list = list(reversed(self.children))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                yield x
+            elif x.tag not in ("script", "style"):
+                todo += reversed(x.children)
+
+    def text(self) -> str:
+        """The strings in it, trimmed, with a blank between."""
+        return " ".join(filter(None, (clean(s) for s in self.strings())))
+
+
+_STEP = re.compile(r"(?P<tag>[\w-]+|\*)?(?P<rest>(?:[.#][\w-]+|\[[^\]]+\])*)")
+_PART = re.compile(r"\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[\s*(?P<attr>[\w:-]+)\s*(?:=\s*(?P<value>\"[^\"]*\"|'[^']*'|[^\]]*))?\]")
 
 
-class Page(HTMLParser):
-    def __init__(self, html: str):
+class Selector:
+    """A list of descendant chains. What it can't read matches nothing."""
+
+    def __init__(self, text: str):
+        self.chains = [chain for chain in (self._chain(part) for part in text.split(",")) if chain]
+
+    @staticmethod
+    def _chain(text: str) -> list[tuple]:
+        steps = []
+        for word in re.findall(r"(?:\[[^\]]*\]|[^\s\[])+", text.strip()):
+            m = _STEP.fullmatch(word)
+            if not m:
+                return []
+            parts = [p.groupdict() for p in _PART.finditer(m["rest"])]
+            steps.append((None if m["tag"] in (None, "*") else m["tag"].lower(), parts))
+        return steps
+
+    @staticmethod
+    def _fits(node: Node, step: tuple) -> bool:
+        tag, parts = step
+        if tag and node.tag != tag:
+            return False
+        for p in parts:
+            if p["cls"]:
+                if p["cls"] not in node.classes:
+                    return False
+            elif p["id"]:
+                if node.attrs.get("id") != p["id"]:
+                    return False
+            elif p["attr"].lower() not in node.attrs or (p["value"] is not None and node.attrs[p["attr"].lower()] != p["value"].strip("\"' ")):
+                return False
+        return True
+
+    def matches(self, node: Node) -> bool:
+        for chain in self.chains:
+            if not self._fits(node, chain[-1]):
+                continue
+            left, up = len(chain) - 2, node.parent
+            while left >= 0 and up is not None:
+                left -= self._fits(up, chain[left])
+                up = up.parent
+            if left < 0:
+                return True
+        return False
+
+    def all(self, root: Node) -> list[Node]:
+        return [n for n in root.nodes() if self.matches(n)] if self.chains else []
+
+    def first(self, root: Node) -> Node | None:
+        return next((n for n in root.nodes() if self.matches(n)), None) if self.chains else None
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[str] = []
-        self.title, self.canonical, self.base = "", None, None
-        self.metas: dict[str, str] = {}
-        self.times: list[str] = []
-        self.scripts: list[str] = []
-        self.links: list[list] = []
-        self.blocks: list[tuple[bool, list[str]]] = [(False, [])]
-        self._ld = False
-        self.feed(html)
-        self.close()
+        self.root = self.at = Node("", {}, None)
+
+    def _close(self, tag: str, within: tuple[str, ...] = ()) -> None:
+        node = self.at
+        while node is not self.root and node.tag != tag:
+            if node.tag in within:
+                return
+            node = node.parent
+        if node is not self.root:
+            self.at = node.parent
 
     def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in attrs}
-        if tag == "meta":
-            key = (a.get("property") or a.get("name") or a.get("itemprop") or "").lower()
-            if key and a.get("content"):
-                self.metas.setdefault(key, a["content"].strip())
-        elif tag == "link" and "canonical" in a.get("rel", "").lower().split() and a.get("href"):
-            self.canonical = self.canonical or a["href"]
-        elif tag == "base" and a.get("href"):
-            self.base = self.base or a["href"]
-        elif tag == "time" and a.get("datetime"):
-            self.times.append(a["datetime"])
-        elif tag == "a" and a.get("href"):
-            self.links.append([a["href"], "", a.get("rel", "")])
-        self._ld = tag == "script" and a.get("type", "").lower() == "application/ld+json"
-        if self._ld:
-            self.scripts.append("")
         if tag in _BLOCK:
-            if tag == "p" and "p" in self.open:
-                self.open.remove("p")
-            self.blocks.append((tag == "p", []))
+            self._close("p", ("div", "section", "article", "td", "li", "body", "button"))
+        if tag == "li":
+            self._close("li", ("ul", "ol"))
+        node = Node(tag, {k.lower(): v or "" for k, v in reversed(attrs)}, self.at)
+        self.at.children.append(node)
+        if tag not in _VOID:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
         if tag not in _VOID:
-            self.open.append(tag)
+            self.at = self.at.parent
 
     def handle_endtag(self, tag):
-        self._ld = False
-        if tag in self.open:
-            del self.open[len(self.open) - 1 - self.open[::-1].index(tag) :]
-            if tag in _BLOCK:
-                self.blocks.append((False, []))
+        self._close(tag)
 
     def handle_data(self, data):
-        if self._ld:
-            self.scripts[-1] += data
-        elif "title" in self.open:
-            self.title += data
-        elif not _SKIP.intersection(self.open):
-            self.blocks[-1][1].append(data)
-        if "a" in self.open and self.links:
-            self.links[-1][1] += data
-
-    def articles(self) -> list[dict]:
-        """JSON-LD nodes of an article type."""
-        out, todo = [], []
-        for raw in self.scripts:
+        self.at.children.append(data)
+
+
+def tree(html: str | None) -> Node:
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
+
+
+def clean(text: str) -> str:
+    return " ".join(text.split())
+
+
+def _articles(root: Node) -> list[dict]:
+    """JSON-LD nodes of an article type."""
+    found, todo = [], []
+    for script in root.nodes():
+        if script.tag == "script" and script.attrs.get("type") == "application/ld+json":
             try:
-                todo.append(json.loads(raw))
+                todo.append(json.loads("".join(c for c in script.children if isinstance(c, str))))
             except ValueError:
                 continue
-        while todo:
-            node = todo.pop(0)
-            if isinstance(node, list):
-                todo[:0] = node
-            elif isinstance(node, dict):
-                if "article" in str(node.get("@type", "")).lower():
-                    out.append(node)
-                todo[:0] = node.get("@graph") or []
-        return out
-
-
-def _clean(text: str) -> str:
-    return re.sub(r"\s+", " ", text).strip()
+    while todo:
+        node = todo.pop(0)
+        if isinstance(node, list):
+            todo[:0] = node
+        elif isinstance(node, dict):
+            kinds = node.get("@type") or []
+            if any("article" in str(k).lower() for k in (kinds if isinstance(kinds, list) else [kinds])):
+                found.append(node)
+            if node.get("@graph"):
+                todo.insert(0, node["@graph"])
+    return found
 
 
 def _author(value) -> str:
     if isinstance(value, dict):
-        return str(value.get("name", ""))
+        return str(value.get("name") or "")
     if isinstance(value, list):
         return ", ".join(filter(None, map(_author, value)))
     return str(value or "")
 
 
-def extract(html: str | None, url: str = "") -> dict:
+def dates_of(root: Node, articles: list[dict], metas: dict, selector: str = "") -> list[tuple[str, str]]:
+    """The texts that may be the publication date, in order of trust, each with where it stands."""
+    out = [(str(a.get("datePublished") or a.get("dateCreated")).strip(), "jsonld") for a in articles if a.get("datePublished") or a.get("dateCreated")]
+    out += [(metas[m], "meta") for m in DATE_METAS if metas.get(m)]
+    for wanted in (*filter(None, (x.strip() for x in selector.split(","))), *DATE_SELECTORS):
+        node = Selector(wanted).first(root)
+        value = node and (node.attrs.get("datetime") or node.attrs.get("content") or node.text()).strip()
+        if value:
+            out.append((value, "selector"))
+    return out
+
+
+def body_of(root: Node, selector: str = "") -> tuple[str, str | None]:
+    """The text of the body, a line for each paragraph, and the selector that found it."""
+    best, most, by = None, 0, None
+    for wanted in (*filter(None, (x.strip() for x in selector.split(","))), *BODY_SELECTORS):
+        node = Selector(wanted).first(root)
+        if node is not None:
+            score = sum(len(n.text()) for n in node.nodes() if n.tag == "p") or len(node.text())
+            if score > most:
+                best, most, by = node, score, wanted
+    if best is None:
+        best, by = next((n for n in root.nodes() if n.tag == "article"), None) or next((n for n in root.nodes() if n.tag == "body"), None) or root, "article|body"
+    excluded = Selector(EXCLUDED)
+    for node in [n for n in best.nodes() if excluded.matches(n)]:
+        if node in node.parent.children:
+            node.parent.children.remove(node)
+    lines = [t for t in (n.text() for n in best.nodes() if n.tag == "p") if t]
+    lines = lines or [t for t in (c.text() for c in best.children if isinstance(c, Node) and c.tag in ("div", "section", "li")) if t]
+    return "\n".join(lines or filter(None, [best.text()])), by
+
+
+def select_links(root: Node, selector: str, base: str) -> list[str]:
+    """Absolute links of what a selector finds: anchors, or the first anchor within."""
+    out = []
+    for node in Selector(selector).all(root):
+        anchor = node if node.tag == "a" else next((n for n in node.nodes() if n.tag == "a"), None)
+        href = anchor.attrs.get("href", "").strip() if anchor is not None else ""
+        if href:
+            out.append(resolve(base, href))
+    return list(dict.fromkeys(out))
+
+
+def next_link(root: Node, selector: str, base: str) -> str | None:
+    """Where the listing's next page is."""
+    node = Selector(selector).first(root)
+    href = node and (node.attrs.get("href") or next((n.attrs["href"] for n in node.nodes() if n.tag == "a" and n.attrs.get("href")), None))
+    return resolve(base, href.strip()) if href else None
+
+
+def extract(html: str | None, url: str = "", body_selector: str = "", date_selector: str = "") -> dict:
     """Article fields and absolute links of a page."""
-    page = Page(html or "")
-    base = resolve(url, page.base or "")
-    articles = page.articles()
-    first = lambda *xs: next((_clean(str(x)) for x in xs if x and _clean(str(x))), None)
-    paragraphs = [_clean("".join(t)) for is_p, t in page.blocks if is_p]
-    body = "\n".join(filter(None, paragraphs)) or "\n".join(filter(None, (_clean("".join(t)) for _, t in page.blocks)))
-    dates = [(a.get("datePublished") or a.get("dateCreated"), "jsonld") for a in articles] + [(page.metas.get(m), "meta") for m in DATE_METAS] + [(t, "selector") for t in page.times]
-    date, origin = next(((str(d), s) for d, s in dates if d), (None, "missing"))
+    root = tree(html)
+    metas: dict[tuple[str, str], str] = {}
+    canonical = base = title = None
+    links = []
+    for n in root.nodes():
+        if n.tag == "meta":
+            for key in ("property", "name", "itemprop"):
+                if n.attrs.get(key):
+                    metas.setdefault((key, n.attrs[key]), n.attrs.get("content", "").strip())
+        elif n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower().split():
+            canonical = canonical or n.attrs.get("href", "").strip() or None
+        elif n.tag == "base" and n.attrs.get("href", "").strip():
+            base = base or n.attrs["href"].strip()
+        elif n.tag == "title":
+            title = title or n.text()
+        elif n.tag == "a" and "href" in n.attrs:
+            links.append((n.attrs["href"].strip(), n.text()[:500], clean(n.attrs.get("rel", ""))[:200]))
+    articles = _articles(root)
+    first = lambda xs: next((str(x).strip() for x in xs if x and str(x).strip()), None)
+    dates = dates_of(root, articles, metas, date_selector)
+    date, origin = next((d for d in dates if parse(d[0])), dates[0] if dates else (None, "missing"))
+    within = resolve(url, base or "")
+    body, by = body_of(root, body_selector)
     return {
-        "headline": first(*(a.get("headline") for a in articles), page.metas.get("og:title"), page.title),
-        "author": first(*(_author(a.get("author")) for a in articles), page.metas.get("author")),
+        "headline": first([*(a.get("headline") for a in articles), metas.get(("property", "og:title")), title]),
+        "author": first([*(_author(a.get("author")) for a in articles), metas.get(("name", "author")), metas.get(("itemprop", "author"))]),
         "published": date,
         "date_source": origin,
-        "modified": first(*(a.get("dateModified") or a.get("dateUpdated") for a in articles), *(page.metas.get(m) for m in MODIFIED_METAS)),
-        "canonical": page.canonical,
+        "modified": first([*(a.get("dateModified") or a.get("dateUpdated") for a in articles), *(metas.get(m) for m in MODIFIED_METAS)]),
+        "canonical": canonical,
         "body": body,
-        "links": [{"href": resolve(base, h), "text": _clean(t)[:500], "rel": _clean(r)[:200], "base": page.base} for h, t, r in page.links],
+        "body_selector": by,
+        "links": [{"href": resolve(within, h), "text": t, "rel": r, "base": base} for h, t, r in links],
     }
 
 
 _LINK = pa.struct([("href", pa.string()), ("text", pa.string()), ("rel", pa.string()), ("base", pa.string())])
-_FIELDS = ["headline", "author", "published", "date_source", "modified", "canonical", "body"]
+_FIELDS = ["headline", "author", "published", "date_source", "modified", "canonical", "body", "body_selector"]
+
 
+def extract_pages(pages: DataFrame, body_selector: str = "", date_selector: str = "") -> DataFrame:
+    """page_id, url and the fields and links of each page (page_id, url, html).
 
-def extract_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url and the fields and links of each page (page_id, url, html)."""
+    A column body_selector or date_selector of pages, as a source's configuration gives it, goes before the arguments.
+    """
+    chosen = [c for c in ("body_selector", "date_selector") if c in pages.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = batch.column("url").to_pylist()
-            rows = [extract(h, u or "") for h, u in zip(batch.column("html").to_pylist(), urls, strict=True)]
+            given = {c: batch.column(c).to_pylist() if c in chosen else [d] * len(urls) for c, d in (("body_selector", body_selector), ("date_selector", date_selector))}
+            rows = [extract(h, u or "", b or "", d or "") for h, u, b, d in zip(batch.column("html").to_pylist(), urls, given["body_selector"], given["date_selector"], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *(pa.array([r[f] for r in rows], pa.string()) for f in _FIELDS), pa.array([r["links"] for r in rows], pa.list_(_LINK))], names=["page_id", "url", *_FIELDS, "links"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, " + ", ".join(f"{f} string" for f in _FIELDS) + ", links array<struct<href string, text string, rel string, base string>>")
+    return pages.select("page_id", "url", "html", *chosen).mapInArrow(run, "page_id bigint, url string, " + ", ".join(f"{f} string" for f in _FIELDS) + ", links array<struct<href string, text string, rel string, base string>>")
+
+
+def extract_listings(pages: DataFrame, link_selector: str, next_selector: str = "") -> DataFrame:
+    """page_id, url, links and next_url of archive listings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            urls = [u or "" for u in batch.column("url").to_pylist()]
+            roots = [tree(h) for h in batch.column("html").to_pylist()]
+            links = [select_links(r, link_selector, u) for r, u in zip(roots, urls, strict=True)]
+            after = [next_link(r, next_selector, u) if next_selector else None for r, u in zip(roots, urls, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(links, pa.list_(pa.string())), pa.array(after, pa.string())], names=["page_id", "url", "links", "next_url"])
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, links array<string>, next_url string")
 
 
 def resolve(base: str, href: str) -> str:

@@ -1,8 +1,10 @@
 import gzip
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.functions import dates
 from corpusmill.functions import status as S
 from corpusmill.functions import text as T
 from corpusmill.functions import url as U
@@ -118,7 +120,7 @@ def test_sources():
     assert got["kind"] == "RSS" and [e["url"] for e in got["entries"]] == ["http://a/1", None]
     assert feeds.parse_feed(b"")["error"] == "empty_content" and feeds.parse_feed(b"<!doctype html><html>")["kind"] == "HTML"
     sitemap = b'<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc>http://a/1</loc><lastmod>2026-08-11</lastmod></url><url><loc> </loc></url></urlset>'
-    assert feeds.parse_sitemap(gzip.compress(gzip.compress(sitemap)))["urls"] == [{"url": "http://a/1", "lastmod": "2026-08-11", "published": None}]
+    assert feeds.parse_sitemap(gzip.compress(gzip.compress(sitemap)))["urls"] == [{"url": "http://a/1", "lastmod": datetime(2026, 8, 11), "published": None}]
     assert feeds.parse_sitemap(b"<urlset><url>")["kind"] == "malformed"
     assert feeds.robots_allows(404, None, "x", "http://a/b") and not feeds.robots_allows(403, None, "x", "http://a/b")
     assert not feeds.robots_allows(200, "User-agent: *\nDisallow: /b", "x", "http://a/b")
@@ -148,3 +150,94 @@ def test_export_day_is_inclusive(spark):
 def test_bounded_reach(spark):
     edges = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 3)], "src int, dst int")
     assert {r.node: r.depth for r in O.reachable(edges, spark.createDataFrame([(0,)], "node int"), 2).collect()} == {0: 0, 1: 1, 2: 2}
+
+
+DATES = {
+    "11 Aug 2026": "2026-08-11 00:00:00", "Aug 11, 2026 10:30 AM": "2026-08-11 10:30:00", "August 11, 2026 1:05 PM": "2026-08-11 13:05:00", "20260811": "2026-08-11 00:00:00",
+    "2026-08-11T10:30Z": "2026-08-11 10:30:00", "20260811T103000": "2026-08-11 10:30:00", "20260811T1030+0800": "2026-08-11 02:30:00", "2026-W33-2": "2026-08-11 00:00:00", "2026-08-11T10": "2026-08-11 10:00:00",
+    "2026-08-11T10:30:00+0800": "2026-08-11 02:30:00", "Tue, 11 Aug 2026 10:30:00 GMT": "2026-08-11 10:30:00", "2026/08/11": "2026-08-11 00:00:00", "08/11/2026": None, "31 Feb 2026": None, "2026-W54-1": None, "": None,
+}
+
+
+def test_date_forms(spark):
+    rows = spark.createDataFrame([(k,) for k in DATES], "c string").select("c", S.parse_date(F.col("c")).cast("string").alias("d")).collect()
+    assert {r.c: r.d for r in rows} == DATES
+    assert {k: str(got) if (got := dates.utc(dates.parse(k))) else None for k in DATES} == DATES
+    stamp = lambda x: F.lit(x).cast("timestamp_ntz")
+    for raw, reason in ((None, "date_missing"), (" ", "date_missing"), ("soon", "date_invalid"), ("2019-01-01", "date_before_cutoff"), ("2026-08-11", "accepted"), ("2027-01-01", "date_in_future")):
+        assert one(spark, lambda c: S.raw_date_reason(c, stamp("2020-01-01"), stamp("2026-08-12")), raw) == reason
+    for value, wait in (("120", 120.0), ("Wed, 12 Aug 2026 00:01:00 GMT", 60.0), ("Mon, 10 Aug 2026 00:00:00 GMT", 0.0), ("x", None)):
+        assert one(spark, lambda c: S.retry_after(c, stamp("2026-08-12")), value) == wait
+
+
+def test_urls_that_do_not_decode(spark):
+    cases = {"http://a.com/?q=100%&x=1": "http://a.com/?q=100%25&x=1", "http://a.com/?a=%zz&b=%20": "http://a.com/?a=%25zz&b=+"}
+    assert {k: one(spark, U.normalize_url, k) for k in cases} == cases
+    for url, bad in (("http://a/?x", True), ("http://a/?utm_source=1", False), ("http://a/?&", True), ("http://a/", False)):
+        assert one(spark, U.disallowed_query, url) is bad
+    none = F.lit(None).cast("array<string>")
+    assert one(spark, lambda c: U.accepts_sitemap(c, F.lit("www.a.com"), F.array(F.lit("cdn.a.com"))), "https://cdn.a.com/s.xml") and not one(spark, lambda c: U.accepts_sitemap(c, F.lit("a.com"), none), "ftp://a.com/s")
+    for pattern, shared, fine in (("a.com/n/*", True, True), ("a.com/*", True, False), ("a.com/*", False, True), ("b.com/*", False, False), ("a.com/x?y", False, False)):
+        assert one(spark, lambda c: U.safe_index_pattern(c, F.lit("a.com"), F.lit(shared)), pattern) is fine
+    period = [F.lit(x) for x in ("2026", "08", "11", "2026-08-11")]
+    assert one(spark, lambda c: U.archive_urls(c, F.lit("/n/"), none, "day", *period), "a.com") == ["https://a.com/n/2026/08/11/"]
+    assert one(spark, lambda c: U.archive_urls(c, F.lit(""), F.array(F.lit("http://{domain}/{date_iso}"), F.lit("{odd}")), "day", *period), "a.com") == ["http://a.com/2026-08-11"]
+    text = F.lit(None).cast("string")
+    assert [one(spark, lambda c: U.page_url(c, F.lit(n), t), u) for u, n, t in (("http://a/x/", 1, text), ("http://a/x/", 2, text), ("http://a/x?d=1", 2, text), ("http://a/x", 3, F.lit("{url},{page}")))] == ["http://a/x/", "http://a/x/page/2", "http://a/x?d=1&page=2", "http://a/x,3"]
+
+
+def test_long_address_is_no_boundary(spark):
+    for n in (10, 1000):
+        address = "https://a.com/" + "x" * n + ".y."
+        assert [s["text"] for s in one(spark, T.sentences, f"Basahin sa {address} Tapos na. Oo! Sa www.b.com/c.d?e=1 ito.")] == [f"Basahin sa {address} Tapos na.", "Oo!", "Sa www.b.com/c.d?e=1 ito."]
+    assert one(spark, lambda c: T.normalize_text(c, compose=True), "é­  a") == "é a"
+
+
+def test_feeds_with_foreign_fields_and_faults():
+    rss = b"""<rss xmlns:media="http://search.yahoo.com/mrss/" xmlns:atom="http://www.w3.org/2005/Atom"><channel><title>C</title><atom:link href="http://a/feed" rel="self"/>
+    <item><media:title>wrong</media:title><title>Tom & Jerry &eacute;</title><link>http://a/1?x=1&y=2</link><pubDate>Tue, 11 Aug 2026 12:00:00 +0800</pubDate></item><item><title>two</title><guid>http://a/2</guid></item></channel></rss>"""
+    got = feeds.parse_feed(rss)
+    assert got["kind"] == "RSS" and got["error"] and [e["title"] for e in got["entries"]] == ["Tom & Jerry é", "two"]
+    assert [e["url"] for e in got["entries"]] == ["http://a/1?x=1&y=2", "http://a/2"] and got["entries"][0]["published"] == datetime(2026, 8, 11, 4)
+    atom = b"""<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>T</title><link rel="enclosure" href="http://a/x.mp3"/><link rel="alternate" href="http://a/1"/><updated>2026-08-11T00:00:00Z</updated></entry></feed>"""
+    assert feeds.parse_feed(atom)["kind"] == "ATOM" and feeds.parse_feed(atom)["entries"][0]["url"] == "http://a/1"
+    assert feeds.parse_feed(b"<foo/>")["kind"] == "MALFORMED"
+    assert len(feeds.parse_feed(b"<rss><channel><item><title>a</title></item><item><title>b</broken></item><item><title>c</title></item>")["entries"]) == 2
+    sitemap = b"""<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:image="i" xmlns:news="n"><url><loc>http://a/1</loc><lastmod>2026-08-11T08:00:00+08:00</lastmod>
+    <image:image><image:loc>http://a/i.jpg</image:loc></image:image><news:news><news:publication_date>2026-08-10</news:publication_date></news:news></url></urlset>"""
+    want = [{"url": "http://a/1", "lastmod": datetime(2026, 8, 11), "published": datetime(2026, 8, 10)}]
+    assert feeds.parse_sitemap(sitemap)["urls"] == want and feeds.parse_sitemap(sitemap, encoding="gzip")["urls"] == want
+    assert feeds.parse_sitemap(gzip.compress(sitemap), "http://a/s.xml.gz")["urls"] == want
+    assert feeds.parse_sitemap(b"plain", "http://a/s.xml.gz")["error"].startswith("decompression_failed") and feeds.parse_sitemap(b"")["error"] == "empty_content"
+
+
+def test_article_body_and_dates():
+    page = """<html><head><meta property="article:published_time" content="not a date"><meta property="og:title" content="Head"></head><body><nav><p>Menu</p></nav>
+    <div class="related"><p>A very long list of related links that is longer than the body itself</p></div><div class="entry-content"><p>Una.<p class="caption">Larawan</p><div class="byline"><p>Ni X</p></div><p>Ikalawa <b>ito</b>.</p></div>
+    <time datetime="2026-08-11">x</time><aside><p>Side</p></aside></body></html>"""
+    got = html.extract(page, "http://a/")
+    assert (got["body"], got["body_selector"], got["published"], got["date_source"], got["headline"]) == ("Una.\nIkalawa ito .", ".entry-content", "2026-08-11", "selector", "Head")
+    own = html.extract('<div id="main"><span class="when">Aug 11, 2026</span><p>Una.</p></div><article><p>Iba ito.</p></article>', "", "#main", ".when")
+    assert (own["body"], own["date_source"], own["published"]) == ("Una.", "selector", "Aug 11, 2026")
+    assert html.extract("<article><div>isa</div><div>dalawa</div></article>")["body"] == "isa\ndalawa"
+    listing = html.tree('<div class="list"><h2><a href="/1">x</a></h2><h2><a href="/2">y</a></h2><h2>z</h2></div><li class="next"><a href="?page=2">next</a></li>')
+    assert html.select_links(listing, ".list h2", "http://a/x") == ["http://a/1", "http://a/2"] and html.next_link(listing, ".next", "http://a/x") == "http://a/x?page=2"
+
+
+def test_robots_and_caches(spark):
+    urls = spark.createDataFrame([("http://www.a.com/x/1",), ("http://www.a.com/y",), ("http://b.com/",), ("http://c.com/",)], "url string")
+    at = "TIMESTAMP_NTZ'2026-08-11 00:00:00'"
+    robots = spark.sql(f"SELECT * FROM VALUES ('www.a.com', 200, 'User-agent: *\nDisallow: /x\nCrawl-delay: 7', {at}), ('b.com', 403, NULL, {at}), ('c.com', 200, 'User-agent: *\nDisallow: /', {at} - INTERVAL 3 DAYS) AS t(domain, status, text, at)")
+    got = {r.url: (r.allowed, r.delay) for r in feeds.robots_decisions(urls, robots, "bot", F.expr(at)).collect()}
+    assert got == {"http://www.a.com/x/1": (False, 7.0), "http://www.a.com/y": (True, 7.0), "http://b.com/": (False, None), "http://c.com/": (True, None)}
+    responses = spark.createDataFrame([('{"a":1}', bytearray(b"one")), ('{"a":2}', bytearray(b"two"))], "request string, content binary")
+    cache = feeds.cache_entries(responses).withColumn("byte_count", F.when(F.col("request") == '{"a":2}', 9).otherwise(F.col("byte_count")).cast("bigint"))
+    found = {r.request: r.content and bytes(r.content) for r in feeds.cache_lookup(spark.createDataFrame([('{"a":1}',), ('{"a":2}',), ('{"a":3}',)], "request string"), cache).collect()}
+    assert found == {'{"a":1}': b"one", '{"a":2}': None, '{"a":3}': None}
+    assert [one(spark, feeds.index_pages, x) for x in ('{"pages": 3}', "4", '{"pages": -1}', "x")] == [3, 4, None, None]
+    asked = feeds.index_requests(spark.createDataFrame([("a.com/*", 2)], "pattern string, pages int"), "CC-MAIN-2026-30").collect()
+    assert [r.page for r in asked] == [0, 1] and len({r.key for r in asked}) == 2
+    fetches = spark.createDataFrame([("u", 200, "old", "e1", None, 1), ("u", 200, "new", "e2", None, 2), ("v", 500, "", None, None, 1)], "url string, status int, body string, etag string, last_modified string, at int")
+    bodies = feeds.body_cache(fetches)
+    again = feeds.with_cached_bodies(spark.createDataFrame([("u", 304, None), ("v", 304, None)], "url string, status int, body string"), bodies).collect()
+    assert {r.url: (r.status, r.body, r.from_cache) for r in again} == {"u": (200, "new", True), "v": (304, None, False)}
