@@ -110,7 +110,7 @@ def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool =
         (text.rlike(r"[\p{Cc}\p{Cf}&&[^\n\t]]"), "control_character"),
         (alnum < 0.6, "symbol_noise"),
         (~text.rlike("""[.!?]["'’”»)]*$"""), "unterminated"),
-        (F.lit(1.0) < least_score, "low_quality_score"),
+        ((F.lit(1.0) < least_score), "low_quality_score"),
     ]
     out = F.lit("accepted")
     for when, reason in reversed(rules):

@@ -113,35 +113,58 @@ def is_asset(path: Column, query: Column) -> Column:
     return clean.rlike(rf"\.(?:{'|'.join(ASSETS)})$") | clean.rlike(rf"(?:^|/)(?:{'|'.join(UTILITY)})(?:/|$)") | F.lower(query).rlike("^(?:s|q|search)=")
 
 
-def scope_reason(c: Column, source: Source) -> Column:
-    """The first of the ordered reasons that decides whether a URL is an article of the source."""
+def _scoped(c: Column, own: Column, landing: Column, sibling, fits) -> Column:
+    """The first of the ordered reasons; sibling and fits get the cleaned and the raw path."""
     p = parts(c)
-    host = F.regexp_replace(F.regexp_replace(F.regexp_replace(p["netloc"], "^.*@", ""), r":\d*$", ""), r"^www\.", "")
+    host = domain(p["netloc"])
     clean = F.when(F.regexp_replace(p["path"], "/+$", "") == "", "/").otherwise(F.regexp_replace(p["path"], "/+$", ""))
-    prefix = "/" + source.prefix.strip("/") if source.prefix else None
-    landing = {"/", *source.landing, *([prefix.rstrip("/") or "/"] if prefix else [])}
-    sibling = F.lit(False)
-    for s in source.siblings:
-        sibling = sibling | (F.lower(clean) == s) | F.lower(clean).startswith(s + "/")
-    if source.patterns:
-        fits = F.lit(False)
-        for pattern in source.patterns:
-            fits = fits | F.when(p["path"] == "", "/").otherwise(p["path"]).rlike(f"^(?:{pattern})$")
-    else:
-        fits = clean.startswith(prefix.rstrip("/") + "/") if prefix else F.lit(True)
+    raw = F.when(p["path"] == "", "/").otherwise(p["path"])
     return (
         F.when(F.trim(F.coalesce(c, F.lit(""))) == "", "invalid_url")
         .when((p["scheme"] == "") | (host == ""), "invalid_url")
         .when(~p["scheme"].isin("http", "https"), "unsupported_scheme")
-        .when(host != source.domain.lower().removeprefix("www."), "host_mismatch")
+        .when(own.isNull() | (host != domain(own)), "host_mismatch")
         .when(is_asset(p["path"], p["query"]), "non_article_asset")
-        .when(clean.isin(*landing), "section_landing_page")
-        .when(sibling, "cross_brand")
-        .when(~fits, "path_pattern_mismatch")
+        .when(F.array_contains(landing, clean), "section_landing_page")
+        .when(sibling(clean), "cross_brand")
+        .when(~fits(clean, raw), "path_pattern_mismatch")
         .otherwise("accepted")
     )
 
 
+def scope_reason(c: Column, source: Source) -> Column:
+    """The first of the ordered reasons that decides whether a URL is an article of the source."""
+    prefix = "/" + source.prefix.strip("/") if source.prefix else None
+    landing = {"/", *source.landing, *([prefix.rstrip("/") or "/"] if prefix else [])}
+
+    def any_of(columns: list[Column]) -> Column:
+        out = F.lit(False)
+        for x in columns:
+            out = out | x
+        return out
+
+    def fits(clean: Column, raw: Column) -> Column:
+        if source.patterns:
+            return any_of([raw.rlike(f"^(?:{p})$") for p in source.patterns])
+        return clean.startswith(prefix.rstrip("/") + "/") if prefix else F.lit(True)
+
+    return _scoped(c, F.lit(source.domain), F.array(*map(F.lit, sorted(landing))), lambda path: any_of([x for s in source.siblings for x in (F.lower(path) == s, F.lower(path).startswith(s + "/"))]), fits)
+
+
+def scope_reason_by_row(c: Column, domain_: str = "domain", prefix: str = "prefix", patterns: str = "patterns", landing: str = "landing", siblings: str = "siblings") -> Column:
+    """As scope_reason, with the source's scope in columns of the row, as a join to the sources gives them."""
+    none = F.array().cast("array<string>")
+    some = lambda k: F.coalesce(F.col(k), none)
+    start = F.concat(F.lit("/"), F.regexp_replace(F.coalesce(F.col(prefix), F.lit("")), "^/+|/+$", ""))
+    home = F.concat(some(landing), F.array(F.lit("/"), start))
+
+    def fits(clean: Column, raw: Column) -> Column:
+        by_pattern = F.exists(some(patterns), lambda p: F.regexp_like(raw, F.concat(F.lit("^(?:"), p, F.lit(")$"))))
+        return F.when(F.size(some(patterns)) > 0, by_pattern).otherwise((start == "/") | clean.startswith(F.concat(start, F.lit("/"))))
+
+    return _scoped(c, F.col(domain_), home, lambda path: F.exists(some(siblings), lambda s: (F.lower(path) == s) | F.lower(path).startswith(F.concat(s, F.lit("/")))), fits)
+
+
 def url_date(c: Column) -> Column:
     """The date in a path such as /2026/08/11/, null where there's none or it's impossible."""
     pattern = r"(?:^|/)(20\d{2})[-/](0?[1-9]|1[0-2])[-/](0?[1-9]|[12]\d|3[01])(?:/|$)"

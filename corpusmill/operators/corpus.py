@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import language as L
 from ..functions import status as S
 from ..functions import text as T
 
@@ -27,27 +28,61 @@ def sentence_rows(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "source", "sentence_index", F.col("s.paragraph_index").alias("paragraph_index"), F.col("s.text").alias("sentence_text"), T.is_quote(F.col("s.text")).alias("is_quote"))
 
 
-def sentence_outcomes(rows: DataFrame, **policy) -> DataFrame:
-    """Each sentence's outcome: its quality reason, or duplicate_batch or duplicate_db, or accepted.
-
-    A repeat within its document is a batch duplicate, a repeat of an earlier document a stored one.
-    """
+def judged_sentences(rows: DataFrame, languages: list[str] | None = None, min_confidence: float = 0.0, allow_mixed: bool = False, **policy) -> DataFrame:
+    """rows with reason (the first rule that rejects a sentence, its language last) and content_hash."""
     # The normal form is a column of its own: inlined, every rule would compute it again.
     normal = rows.withColumn("_normal", T.normalize_text(F.col("sentence_text")))
-    judged = normal.withColumn("reason", T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), **policy)).drop("_normal").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
+    reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), **policy)
+    judged = normal.withColumn("reason", reason)
+    if languages is not None:
+        judged = judged.withColumn("_language", L.detect(F.col("_normal"), min_confidence))
+        good = L.accepted(F.col("_language.label"), F.col("_language.confidence"), F.array(*map(F.lit, languages)), F.lit(min_confidence), F.lit(allow_mixed))
+        judged = judged.withColumn("reason", F.when((F.col("reason") == "accepted") & ~good, "language").otherwise(F.col("reason"))).drop("_language")
+    return judged.drop("_normal").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
+
+
+def deduplicated(judged: DataFrame, *by: str) -> DataFrame:
+    """judged with outcome: its reason, or duplicate_batch or duplicate_db, or accepted; separately for each value of by.
+
+    A repeat within its document is a batch duplicate, a repeat of an earlier document a stored one. Rows are dealt
+    by hash and document, so a sentence that many documents share is gathered by no task; its first document
+    comes from a partial aggregate.
+    """
     good = F.col("reason") == "accepted"
-    # Rejected sentences take no part in the windows, nor does their hash gather them in one partition.
-    key = F.when(good, F.col("content_hash")).otherwise(F.concat_ws(":", "doc_id", "sentence_index"))
-    judged = judged.withColumn("_key", key)
-    every = Window.partitionBy("_key").orderBy("doc_id", "sentence_index")
-    own = Window.partitionBy("_key", "doc_id").orderBy("sentence_index")
-    ranked = judged.withColumn("_first", F.first("doc_id").over(every)).withColumn("_own", F.row_number().over(own))
-    outcome = F.when(~good, F.col("reason")).when(F.col("_own") > 1, "duplicate_batch").when(F.col("_first") != F.col("doc_id"), "duplicate_db").otherwise("accepted")
-    return ranked.withColumn("outcome", outcome).drop("_key", "_first", "_own")
+    # Rejected sentences have keys of their own.
+    key = F.when(good, F.concat_ws("|", *by, "content_hash")).otherwise(F.concat_ws(":", *by, "doc_id", "sentence_index"))
+    document = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    dealt = judged.withColumn("_key", key).withColumn("_doc", document(F.col("doc_id"))).repartition("_key", "_doc")
+    own = F.row_number().over(Window.partitionBy("_key", "_doc").orderBy("sentence_index"))
+    # All columns are named, so that both sides read one exchange.
+    rest = [c for c in dealt.columns if c not in ("_key", "doc_id", "sentence_index")]
+    first = dealt.groupBy("_key").agg(F.min(F.struct("doc_id", "sentence_index", *rest)).alias("m")).select(F.col("_key").alias("_k"), document(F.col("m.doc_id")).alias("_d"))
+    ranked = dealt.withColumn("_own", own).join(first, (F.col("_key") == F.col("_k")) & (F.col("_doc") == F.col("_d")), "left")
+    outcome = F.when(~good, F.col("reason")).when(F.col("_own") > 1, "duplicate_batch").when(F.col("_k").isNull(), "duplicate_db").otherwise("accepted")
+    return ranked.withColumn("outcome", outcome).drop("_key", "_doc", "_own", "_k", "_d")
+
+
+def sentence_outcomes(rows: DataFrame, **policy) -> DataFrame:
+    """Each sentence's outcome: its quality reason, or language, duplicate_batch or duplicate_db, or accepted."""
+    return deduplicated(judged_sentences(rows, **policy))
+
+
+def policy_totals(rows: DataFrame, profiles: dict[str, tuple]) -> DataFrame:
+    """profile, candidates, accepted and rejected; profiles: least and most tokens, quotes, headlines, least score.
+
+    Sentences are cut and normalised once and judged for every profile.
+    """
+    table = F.array(*[F.struct(F.lit(n).alias("profile"), *(F.lit(v).alias(k) for k, v in zip(("low", "high", "quotes", "headlines", "least"), p, strict=True))) for n, p in profiles.items()])
+    normal = rows.select("doc_id", "sentence_index", "is_quote", T.content_hash(F.col("sentence_text")).alias("content_hash"), T.normalize_text(F.col("sentence_text")).alias("_normal"))
+    reasons = normal.withColumn("p", F.explode(table))
+    limits = {k: F.col(f"p.{k}") for k in ("low", "high", "quotes", "headlines")}
+    judged = reasons.select("doc_id", "sentence_index", "content_hash", F.col("p.profile").alias("profile"), T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), least_score=F.col("p.least"), **limits).alias("reason"))
+    good = F.col("outcome") == "accepted"
+    return deduplicated(judged, "profile").groupBy("profile").agg(F.count("*").alias("candidates"), F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"))
 
 
 def reconcile(candidates: DataFrame, stored: DataFrame) -> DataFrame:
-    """Each candidate's outcome; candidates: ord, method, url, scope; stored: url.
+    """Each candidate's outcome; candidates: ord, method, url, scope and, if dates gate, date_reason; stored: url.
 
     Seen = invalid + duplicates + unique, and unique = rejected + stored + queued.
     """
@@ -55,8 +90,9 @@ def reconcile(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     w = Window.partitionBy("url").orderBy("ord")
     valid = candidates.where(~invalid).withColumn("_n", F.row_number().over(w)).withColumn("_first", F.first("method").over(w))
     known = stored.select(F.col("url").alias("_stored")).distinct()
+    dated = F.col("date_reason") == "date_before_cutoff" if "date_reason" in candidates.columns else F.lit(False)
     joined = valid.join(known, F.col("url") == F.col("_stored"), "left")
-    outcome = F.when((F.col("_n") > 1) & (F.col("_first") != F.col("method")), "duplicate_cross_method").when(F.col("_n") > 1, "duplicate_in_run").when(F.col("scope") != "accepted", "rejected_scope").when(F.col("_stored").isNotNull(), "already_stored").otherwise("queued_new")
+    outcome = F.when((F.col("_n") > 1) & (F.col("_first") != F.col("method")), "duplicate_cross_method").when(F.col("_n") > 1, "duplicate_in_run").when(F.col("scope") != "accepted", "rejected_scope").when(dated, "rejected_date_hint").when(F.col("_stored").isNotNull(), "already_stored").otherwise("queued_new")
     return joined.withColumn("outcome", outcome).select(*candidates.columns, "outcome").unionByName(candidates.where(invalid).withColumn("outcome", F.lit("invalid")))
 
 
@@ -74,6 +110,17 @@ def resolve_evidence(evidence: DataFrame, cutoff: Column, as_of: Column, allow_l
     return picked.select("item", F.col("win.value").alias("resolved"), F.when(won, "accepted").otherwise(F.col("last.reason")).alias("reason"), F.when(won, F.col("win.source")).otherwise(F.col("last.source")).alias("source"), F.coalesce("win.confidence", F.lit(0.0)).alias("confidence"))
 
 
+def disagreements(evidence: DataFrame, days: int = 30) -> DataFrame:
+    """item, source and days of evidence that differs from the most trusted by more than so many days."""
+    rank = F.coalesce(*[F.when(F.col("source") == s, r) for s, r in S.EVIDENCE_RANKS.items()], F.when(F.col("source").startswith("html_"), 1), F.lit(99))
+    placed = evidence.where(F.col("value").isNotNull()).withColumn("_place", F.struct(rank.alias("r"), (-F.col("confidence")).alias("c"), "pos"))
+    top = placed.groupBy("item").agg(F.min(F.struct("_place", "value")).alias("_top"))
+    # Whole days, rounded down before the sign goes.
+    apart = F.abs(F.floor((F.unix_micros(F.col("value").cast("timestamp")) - F.unix_micros(F.col("_top.value").cast("timestamp"))) / 86_400_000_000))
+    rows = placed.join(top, "item").where(F.col("_place") != F.col("_top._place"))
+    return rows.select("item", "source", apart.cast("bigint").alias("days")).where(F.col("days") > days)
+
+
 def frontier(urls: DataFrame, limit: int) -> DataFrame:
     """The next URLs to work on: enabled sources, then depth, priority, url and id."""
     return urls.orderBy(F.desc("enabled"), "depth", F.desc("priority"), "url", "url_id").limit(limit)
@@ -117,6 +164,8 @@ def near_pairs(df: DataFrame, id_col: str, text_col: str, distance: int = 3) ->
     With up to three differing bits one band is equal. Rows that agree in id and text are one document. Classes
     are told apart by their hashes, so documents without an id take part.
     """
+    if not 0 <= distance <= 3:
+        raise ValueError("four bands find pairs of up to three differing bits")
     hashed = simhashes(df, id_col, text_col)
     none = F.lit(None)
     members = hashed.select(F.lit("member").alias("kind"), F.col(id_col).alias("a"), none.cast(df.schema[id_col].dataType).alias("b"), F.col("h").alias("class_a"), none.cast("bigint").alias("class_b"), none.cast("int").alias("distance"))

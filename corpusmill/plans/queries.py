@@ -15,6 +15,8 @@ from ..functions import status as S
 from ..functions import text as T
 from ..functions import url as U
 from ..operators import corpus as O
+from ..operators import discovery as D
+from ..operators import store
 from ..sources import feeds, html
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,12 +101,7 @@ def rejection_breakdown(spark, d):
 
 @query()
 def policy_projection(spark, d):
-    rows = O.sentence_rows(table(spark, d, "documents"))
-    parts = [O.sentence_outcomes(rows, low=a, high=b, quotes=q, headlines=h, least_score=s).groupBy("outcome").agg(F.count("*").alias("n")).withColumn("profile", F.lit(name)) for name, (a, b, q, h, s) in PROFILES.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("profile").agg(F.sum("n").alias("candidates"), F.sum(F.when(F.col("outcome") == "accepted", F.col("n")).otherwise(0)).alias("accepted"), F.sum(F.when(F.col("outcome") != "accepted", F.col("n")).otherwise(0)).alias("rejected"))
+    return O.policy_totals(O.sentence_rows(table(spark, d, "documents")), PROFILES)
 
 
 @query(r"SELECT source, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens, min(n) AS least, max(n) AS most FROM (SELECT source, CASE WHEN trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 0 ELSE CAST(len(regexp_split_to_array(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '\s+')) AS INTEGER) END AS n FROM documents) GROUP BY 1")
@@ -229,14 +226,21 @@ def lifecycle_transition(spark, d):
 
 @query("SELECT user_id AS source_id, count(*) AS failures FROM events WHERE event_id % 9 = 3 GROUP BY 1 HAVING count(*) >= 5")
 def source_cooldown(spark, d):
-    return table(spark, d, "events").where("event_id % 9 = 3").groupBy(F.col("user_id").alias("source_id")).agg(F.count("*").alias("failures")).where("failures >= 5")
+    return store.cooldowns(table(spark, d, "events").where("event_id % 9 = 3").select(F.col("user_id").alias("source_id")))
+
+
+#: Of the URLs that events stand for, value is when a retry is due and 50 the time now.
+NOW = 50
+
+
+def _urls(spark, d):
+    state = F.element_at(F.array(*map(F.lit, ("DISCOVERED", "RETRY_WAIT", "FAILED", "ACCEPTED"))), (F.col("event_id") % 4 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", F.col("user_id").alias("source_id"), state.alias("status"), F.col("value").alias("next_retry_at"), "ts")
 
 
 @query("SELECT event_id FROM events WHERE (event_id % 4 = 0 OR (event_id % 4 = 1 AND (value IS NULL OR value <= 50))) AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 9 = 3 GROUP BY 1 HAVING count(*) >= 5)")
 def due_work(spark, d):
-    e = table(spark, d, "events")
-    due = (F.col("event_id") % 4 == 0) | ((F.col("event_id") % 4 == 1) & (F.col("value").isNull() | (F.col("value") <= 50)))
-    return e.where(due).join(source_cooldown(spark, d).withColumnRenamed("source_id", "user_id"), "user_id", "left_anti").select("event_id")
+    return store.due_urls(_urls(spark, d), source_cooldown(spark, d), NOW).select("event_id")
 
 
 @query("SELECT event_id, coalesce(CASE WHEN event_id % 3 = 0 THEN ts END, ts - INTERVAL 1 HOUR) AS stamp FROM events WHERE event_id % 4 = 2 AND coalesce(CASE WHEN event_id % 3 = 0 THEN ts END, ts - INTERVAL 1 HOUR) < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
@@ -260,10 +264,10 @@ EVIDENCE = "SELECT o_orderkey AS item, 0 AS pos, 'rss' AS source, o_orderdate AS
  n AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY reason <> 'accepted', CASE WHEN reason = 'accepted' THEN k ELSE -k END, CASE WHEN reason = 'accepted' THEN -confidence ELSE confidence END, CASE WHEN reason = 'accepted' THEN pos ELSE -pos END, CASE WHEN reason = 'accepted' THEN value END, reason DESC, source DESC) AS i FROM r)
  SELECT item, CASE WHEN reason = 'accepted' THEN value END AS resolved, reason, source, CAST(CASE WHEN reason = 'accepted' THEN confidence ELSE 0 END AS DOUBLE) AS confidence FROM n WHERE i = 1""")
 def date_evidence_resolve(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("_evidence_orders")
-    table(spark, d, "lineitem").createOrReplaceTempView("_evidence_lines")
-    rows = spark.sql(EVIDENCE.replace("FROM orders", "FROM _evidence_orders").replace("FROM lineitem", "FROM _evidence_lines")).withColumn("confidence", F.col("confidence").cast("double"))
-    return O.resolve_evidence(rows, F.lit("1995-01-01").cast("timestamp_ntz"), F.lit("1998-01-01").cast("timestamp_ntz"))
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("item"), F.lit(0).alias("pos"), F.lit("rss").alias("source"), F.col("o_orderdate").alias("value"), F.lit(0.85).alias("confidence"))
+    k = F.col("l_linenumber")
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("item"), (1 + k).alias("pos"), F.when(k % 3 == 0, "html_meta").when(k % 3 == 1, "url").otherwise("lastmod").alias("source"), F.col("l_shipdate").alias("value"), (0.5 + k / 100).alias("confidence"))
+    return O.resolve_evidence(orders.unionByName(lines), F.lit("1995-01-01").cast("timestamp_ntz"), F.lit("1998-01-01").cast("timestamp_ntz"))
 
 
 @query("SELECT l_orderkey, l_linenumber, c_name, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_returnflag = 'N' AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-01-31' + INTERVAL 1 DAY")
@@ -275,8 +279,8 @@ def export_join(spark, d):
 
 @query("SELECT o_orderkey, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS sentence_count, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'ACCEPTED' ELSE 'NO_SENTENCES' END AS status FROM orders")
 def count_backfill(spark, d):
-    n = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    return table(spark, d, "orders").join(n, "o_orderkey", "left").select("o_orderkey", F.coalesce("n", F.lit(0)).alias("sentence_count"), F.when(F.col("n") > 0, "ACCEPTED").otherwise("NO_SENTENCES").alias("status"))
+    articles = table(spark, d, "orders").select(F.col("o_orderkey").alias("article_id"))
+    return store.counted_back(articles, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("article_id"))).select(F.col("article_id").alias("o_orderkey"), "sentence_count", "status")
 
 
 @query("SELECT CAST(CAST(p AS DATE) AS VARCHAR) AS period, strftime(p, '%Y') AS yyyy, strftime(p, '%m') AS mm, strftime(p, '%d') AS dd, strftime(p, '%Y-%m-%d') AS date_iso FROM (SELECT unnest(generate_series(TIMESTAMP '2024-11-01', TIMESTAMP '2026-02-01', INTERVAL 1 MONTH)) AS p)")
@@ -323,38 +327,38 @@ def url_date(spark, d):
 
 @query("SELECT event_id FROM events WHERE event_id % 4 IN (1, 2) AND user_id % 10 = 3 AND (value IS NULL OR value <= 50)")
 def requeue_scope(spark, d):
-    """Rows in RETRY_WAIT (1) or FAILED (2) of one source that are due."""
-    due = F.col("value").isNull() | (F.col("value") <= 50)
-    return table(spark, d, "events").where((F.col("event_id") % 4).isin(1, 2) & (F.col("user_id") % 10 == 3) & due).select("event_id")
+    """Rows in RETRY_WAIT or FAILED of one source that are due."""
+    scope = store.requeue_scope(_urls(spark, d).withColumn("source_id", F.col("source_id") % 10), NOW, source=3, due=True)
+    return scope.select("event_id")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def reclassify_zero(spark, d):
     """Accepted articles (status F) without a kept sentence (flag R)."""
-    kept = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").where("o_orderstatus = 'F'").join(kept, "o_orderkey", "left_anti").select("o_orderkey")
+    articles = table(spark, d, "orders").select(F.col("o_orderkey").alias("article_id"), F.when(F.col("o_orderstatus") == "F", "ACCEPTED").alias("status"))
+    kept = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("article_id"))
+    return store.without_sentences(articles, kept).select(F.col("article_id").alias("o_orderkey"))
 
 
 @query(f"SELECT normalized AS url, bool_or(page_id % 2 = 0) AS configured, bool_or(page_id % 2 = 1 OR page_id % 6 = 0) AS declared FROM ({NORMAL_URL}) GROUP BY 1")
 def merged_roots(spark, d):
     """Roots that are configured, declared by robots, or both, by normal form."""
-    rows = url_normalize(spark, d)
-    return rows.groupBy(F.col("normalized").alias("url")).agg(F.bool_or(F.col("page_id") % 2 == 0).alias("configured"), F.bool_or((F.col("page_id") % 2 == 1) | (F.col("page_id") % 6 == 0)).alias("declared"))
+    k = F.col("page_id")
+    return store.merged_roots(url_normalize(spark, d).select(F.col("normalized").alias("url"), (k % 2 == 0).alias("configured"), ((k % 2 == 1) | (k % 6 == 0)).alias("declared")))
 
 
 @query(f"SELECT normalized AS url, CAST(min(page_id % 4) AS INTEGER) AS depth, CAST(max(page_id % 11) AS INTEGER) AS priority, min(page_id) AS owner FROM ({NORMAL_URL}) GROUP BY 1")
 def rediscovery_improvement(spark, d):
     """A URL found again keeps its owner, its smallest depth and its highest priority."""
-    return url_normalize(spark, d).groupBy(F.col("normalized").alias("url")).agg(F.min((F.col("page_id") % 4).cast("int")).alias("depth"), F.max((F.col("page_id") % 11).cast("int")).alias("priority"), F.min("page_id").alias("owner"))
+    k = F.col("page_id")
+    return store.rediscovered(url_normalize(spark, d).select(F.col("normalized").alias("url"), (k % 4).cast("int").alias("depth"), (k % 11).cast("int").alias("priority"), k.alias("owner")))
 
 
 @query(f"SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source, {HASH} ORDER BY doc_id) AS n FROM documents) WHERE n > 1")
 def pagination_loops(spark, d):
     """Pages (documents) whose body was met before in the same period (source)."""
     hashed = table(spark, d, "documents").select("source", "doc_id", T.content_hash(F.col("text")).alias("h"))
-    # The first is kept by a partial aggregate, so no window gathers a period.
-    first = hashed.groupBy("source", "h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return hashed.join(first, ["source", "h"]).where("doc_id <> first").select("source", "doc_id")
+    return store.repeated(hashed, "source", "h", "doc_id")
 
 
 RECONCILED = SQL["candidate_reconcile"]
