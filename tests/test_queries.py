@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+import corpusmill.plans.more_queries  # noqa: F401  adds its queries
 from corpusmill.plans.queries import QUERIES, SQL
 
 TABLES = "/root/testdata/sf0.001"
