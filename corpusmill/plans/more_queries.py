@@ -252,7 +252,7 @@ def robots_decisions(spark, d):
     return feeds.robots_decisions(pages, spark.createDataFrame(files, "domain string, status int, text string, at int"), "bot").select("page_id", "allowed")
 
 
-@query()
+@query(SQL["policy_projection"])
 def evaluate_policy(spark, d):
     return commands.evaluate_policy(table(spark, d, "documents"))
 

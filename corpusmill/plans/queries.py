@@ -84,22 +84,45 @@ def paragraph_quality(spark, d):
     return paragraphs(spark, d).select(T.quality_reason(F.col("paragraph")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query()
+_W, _CLOSERS = r"[\p{L}\p{M}\p{N}_]", """["''”’»)\\]}]*"""
+#: The boundary rule in patterns without look-around: b is what stands before a mark, a what stands after it.
+_STOPS = f"""NOT (regexp_matches(b, '\\p{{Nd}}$') AND regexp_matches(a, '^\\p{{Nd}}')) AND NOT starts_with(a, '.') AND NOT regexp_matches(b, '(?i)((https?://|www\\.)\\S*|www)$')
+ AND NOT (regexp_matches(b, '(^|[^{_W[1:-1]}])(?i:{"|".join(T.TERMINAL_ABBREVIATIONS)})$') AND regexp_matches(a, '^{_CLOSERS}\\s*$')) AND NOT (regexp_matches(b, '(^|[^{_W[1:-1]}])(?i:{"|".join(T.ABBREVIATIONS)})$') AND regexp_matches(a, '^{_CLOSERS}\\s*\\S'))
+ AND NOT (regexp_matches(b, '(^|[^{_W[1:-1]}]){_W}$') AND regexp_matches(a, '^{_CLOSERS}\\s*\\p{{L}}'))"""
+SENTENCES = f"""(SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY paragraph_index, e) - 1 AS INTEGER) AS sentence_index, paragraph_index, t AS sentence_text, regexp_matches(t, '^["“‘'']|["”’»'']$') AS is_quote FROM (
+ SELECT doc_id, paragraph_index, e, trim(substr(p, s + 1, e - s)) AS t FROM (SELECT *, lag(e, 1, 0) OVER (PARTITION BY doc_id, paragraph_index ORDER BY e) AS s FROM (
+  SELECT doc_id, paragraph_index, p, i + length(regexp_extract(a, '^{_CLOSERS}')) AS e FROM (
+   SELECT *, substr(p, 1, i - 1) AS b, substr(p, i + 1) AS a FROM (SELECT doc_id, paragraph_index, paragraph AS p, unnest(string_split(paragraph, '')) AS ch, generate_subscripts(string_split(paragraph, ''), 1) AS i FROM ({SQL["paragraphs"]})) WHERE ch IN ('.', '!', '?'))
+  WHERE regexp_matches(a, '^{_CLOSERS}($|\\s|\\p{{Lu}})') AND (ch <> '.' OR ({_STOPS}))))) WHERE t <> '')"""
+
+
+@query(f"SELECT s.*, d.source FROM {SENTENCES} AS s JOIN documents AS d USING (doc_id)")
 def sentence_segments(spark, d):
     return O.sentence_rows(table(spark, d, "documents"))
 
 
-@query()
+def outcomes_sql(low: str, high: str, quotes: str, least: str, profiles: str, by: str) -> str:
+    """SQL of the sentences' outcomes; the limits are expressions over a row of profiles."""
+    quality = QUALITY.replace("n < 5", f"n < {low}").replace("n > 80", f"n > {high}").replace("THEN 'empty'", f"THEN 'empty' WHEN is_quote AND NOT {quotes} THEN 'quote_excluded'").replace("ELSE 'accepted'", f"WHEN 1.0 < {least} THEN 'low_quality_score' ELSE 'accepted'")
+    return f"""(SELECT *, CASE WHEN reason <> 'accepted' THEN reason WHEN row_number() OVER (PARTITION BY {by} reason, content_hash, doc_id ORDER BY sentence_index) > 1 THEN 'duplicate_batch'
+ WHEN min(doc_id) OVER (PARTITION BY {by} reason, content_hash) <> doc_id THEN 'duplicate_db' ELSE 'accepted' END AS outcome FROM (
+ SELECT *, {quality} AS reason, sha256(trim(regexp_replace(lower(t), '\\s+', ' ', 'g'))) AS content_hash FROM (SELECT *, sentence_text AS t, len(regexp_split_to_array(sentence_text, '\\s+')) AS n FROM {SENTENCES} AS s{profiles})))"""
+
+
+@query(f"SELECT doc_id, sentence_index, reason, outcome, content_hash FROM {outcomes_sql('5', '80', 'FALSE', '0', '', '')}")
 def sentence_dedup_outcome(spark, d):
     return O.sentence_outcomes(sentence_segments(spark, d)).select("doc_id", "sentence_index", "reason", "outcome", "content_hash")
 
 
-@query()
+@query(f"SELECT outcome, count(*) AS n FROM ({SQL['sentence_dedup_outcome']}) GROUP BY 1")
 def rejection_breakdown(spark, d):
     return sentence_dedup_outcome(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query()
+_PROFILE_ROWS = ", (VALUES " + ", ".join(f"('{n}', {low}, {high}, {q}, {least})" for n, (low, high, q, _, least) in PROFILES.items()) + ") AS f(profile, low, high, quotes, least)"
+
+
+@query(f"SELECT profile, count(*) AS candidates, CAST(sum(CASE WHEN outcome = 'accepted' THEN 1 ELSE 0 END) AS BIGINT) AS accepted, CAST(sum(CASE WHEN outcome <> 'accepted' THEN 1 ELSE 0 END) AS BIGINT) AS rejected FROM {outcomes_sql('low', 'high', 'quotes', 'least', _PROFILE_ROWS, 'profile,')} GROUP BY 1")
 def policy_projection(spark, d):
     return O.policy_totals(O.sentence_rows(table(spark, d, "documents")), PROFILES)
 
