@@ -23,7 +23,7 @@ FUNCTIONS: dict[str, tuple[list[str], str, object]] = {
     "token_count": (["STRING"], "INT", T.token_count),
     "is_quote": (["STRING"], "BOOLEAN", T.is_quote),
     "quality_reason": (["STRING"], "STRING", T.quality_reason),
-    "parse_date": (["STRING"], "TIMESTAMP_NTZ", S.parse_date),
+    "parse_date": (["STRING"], "TIMESTAMP_NTZ", S._parsed),
     "http_category": (["INT"], "STRING", S.http_category),
     "hamming64": (["BIGINT", "BIGINT"], "INT", T.hamming),
 }

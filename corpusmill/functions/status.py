@@ -44,10 +44,17 @@ def date_reason(value: Column, cutoff: Column, as_of: Column) -> Column:
 _NO_SECONDS = r"([T ]\d{2}:\d{2})(Z|[+-].*)$"
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that's evaluated once; inlined in each place, long expressions would outgrow generated code."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def parse_date(c: Column) -> Column:
     """A date text as UTC: ISO forms (basic and week forms too), RFC 2822 (its weekday set aside), and written forms."""
-    plain = F.trim(c)
-    text = F.regexp_replace(plain, r"^[A-Za-z]{3},\s*", "")
+    return let(F.regexp_replace(F.trim(c), r"^[A-Za-z]{3},\s*", ""), _parsed)
+
+
+def _parsed(text: Column) -> Column:
     zone = r"(Z|[+-]\d{2}(:?\d{2})?)?$"
     whole = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?" + zone[:-1] + ")?$"), text)
     padded = F.regexp_replace(F.regexp_replace(whole, r"^(\S{10}[T ]\d{2})(Z|[+-].*)?$", "$1:00$2"), r"([+-]\d{2})(\d{2})$", "$1:$2")
@@ -67,14 +74,14 @@ def parse_date(c: Column) -> Column:
 
 def raw_date_reason(raw: Column, cutoff: Column, as_of: Column) -> Column:
     """As date_reason for a date text; date_invalid where it's no date."""
-    parsed = parse_date(raw)
-    return F.when(F.trim(F.coalesce(raw, F.lit(""))) == "", "date_missing").when(parsed.isNull(), "date_invalid").otherwise(date_reason(parsed, cutoff, as_of))
+    judged = let(parse_date(raw), lambda d: F.when(d.isNull(), "date_invalid").otherwise(date_reason(d, cutoff, as_of)))
+    return F.when(F.trim(F.coalesce(raw, F.lit(""))) == "", "date_missing").otherwise(judged)
 
 
 def retry_after(value: Column, as_of: Column) -> Column:
     """Seconds that a Retry-After header asks for: a number, or an HTTP date less the time now (0 if past)."""
-    until = parse_date(value)
-    return F.when(F.trim(value).rlike(r"^\d+(\.\d+)?$"), F.trim(value).try_cast("double")).when(until.isNotNull(), F.greatest(F.lit(0.0), F.timestamp_diff("SECOND", as_of, until).cast("double")))
+    wait = let(parse_date(value), lambda until: F.when(until.isNotNull(), F.greatest(F.lit(0.0), F.timestamp_diff("SECOND", as_of, until).cast("double"))))
+    return F.when(F.trim(value).rlike(r"^\d+(\.\d+)?$"), F.trim(value).try_cast("double")).otherwise(wait)
 
 
 def evidence(html: Column, html_source: Column, news: Column, rss: Column, url: Column, period: Column, lastmod: Column, hint: Column) -> Column:
