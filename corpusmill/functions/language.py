@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import words
+from .status import let
 
 #: Function words of either language that the other doesn't use.
 FILIPINO = "ang ng mga sa na ay at si ni kay kina sina nina ito iyon iyan dito doon diyan siya sila kami tayo kayo ako ikaw niya nila namin natin ninyo hindi wala mayroon may kung dahil para pero ngunit subalit kapag nang pa rin din lang lamang po opo ba daw raw naman kaya upang bilang mula hanggang kahit habang".split()
@@ -18,14 +18,20 @@ ENGLISH = "the of and to in is was were are be been it that this these those he
 
 def scores(text: Column) -> tuple[Column, Column]:
     """How many words of a text are Filipino and English function words."""
-    own = words(text)
-    count = lambda known: F.size(F.filter(own, lambda w: w.isin(known)))
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    count = lambda known: F.regexp_count(lower, F.lit(rf"(?U)\b(?:{'|'.join(known)})\b"))
     return count(FILIPINO), count(ENGLISH)
 
 
 def detect(text: Column, min_confidence: float = 0.0, classify_mixed: bool = True) -> Column:
     """struct<label, confidence>: UNKNOWN for a blank text, OTHER without evidence, MIXED where the evidence is weak."""
-    filipino, english = scores(text)
+    def judged(n: Column) -> Column:
+        return _judged(text, n["f"], n["e"], min_confidence, classify_mixed)
+
+    return let(F.struct(*[c.alias(k) for c, k in zip(scores(text), "fe", strict=True)]), judged)
+
+
+def _judged(text: Column, filipino: Column, english: Column, min_confidence: float, classify_mixed: bool) -> Column:
     most = F.greatest(filipino, english)
     confidence = F.when(most > 0, F.round(most / (filipino + english) * most / (most + 1), 6)).otherwise(0.0)
     label = F.when(most == 0, "OTHER").when(filipino >= english, "FILIPINO").otherwise("ENGLISH")

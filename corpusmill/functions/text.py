@@ -53,8 +53,8 @@ def normalize_text(c: Column, compose: bool = False) -> Column:
     Spark has no composing function, so unless compose, input is taken as NFC already; compose sends it through Arrow.
     """
     whole = F.coalesce(c, F.lit(""))
-    spaced = F.regexp_replace(F.regexp_replace(nfc(whole) if compose else whole, "­", ""), r"\p{Zs}", " ")
-    return F.regexp_replace(F.regexp_replace(spaced, r"[ \t\r\f\x0B]+", " "), r"^\s+|\s+$", "")
+    bare = F.replace(nfc(whole) if compose else whole, F.lit("\u00ad"), F.lit(""))
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"[\p{Zs}&&[^ ]]", " "), r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]", " "), F.lit(" \t\n\r\f\x0b"))
 
 
 def content_hash(c: Column) -> Column:
@@ -63,8 +63,7 @@ def content_hash(c: Column) -> Column:
 
 
 def token_count(c: Column) -> Column:
-    trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"\s+")))
+    return F.regexp_count(c, F.lit(r"\S+"))
 
 
 def paragraphs(c: Column) -> Column:
@@ -92,12 +91,21 @@ def is_quote(c: Column) -> Column:
     return c.rlike("""^["“‘']|["”’»']$""")
 
 
-def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool = False, headlines: bool = False, quote: Column | None = None, headline: Column | None = None, least_score: float = 0.0, noise_patterns: list[str] | None = None) -> Column:
-    """The first reason that rejects a normalised sentence, or 'accepted'. Limits may be values or columns."""
+def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool = False, headlines: bool = False, quote: Column | None = None, headline: Column | None = None, least_score: float = 0.0, noise_patterns: list[str] | None = None, tokens: Column | None = None) -> Column:
+    """The first reason that rejects a normalised sentence, or 'accepted'. Limits may be values or columns.
+
+    tokens: the sentence's token count, where it's a column already.
+    """
     quotes, headlines = (x if isinstance(x, Column) else F.lit(x) for x in (quotes, headlines))
-    tokens, lower = token_count(text), F.lower(text)
+    tokens, lower = token_count(text) if tokens is None else tokens, F.lower(text)
     alnum = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", "")) / F.greatest(F.lit(1), F.length(text))
-    noise = lower.rlike("(?U)" + "|".join(NOISE if noise_patterns is None else noise_patterns or ["(?!)"]))
+    if noise_patterns is None:  # those that may stand anywhere are looked for where a word of theirs is
+        starts = "|".join(p[1:] for p in NOISE if p.startswith("^"))
+        inside = "|".join(p for p in NOISE if not p.startswith("^"))
+        noise = lower.rlike(f"(?U)^(?:{starts})") | ((lower.contains("rights") | lower.contains("copyright")) & lower.rlike(f"(?U){inside}"))
+    else:
+        noise = lower.rlike("(?U)" + "|".join(noise_patterns or ["(?!)"]))
+    address = lower.contains("://") | lower.contains("www.") | text.contains("@")
     rules = [
         (text == "", "empty"),
         ((headline if headline is not None else F.lit(False)) & ~headlines, "headline_excluded"),
@@ -105,7 +113,7 @@ def quality_reason(text: Column, *, low: int = 5, high: int = 80, quotes: bool =
         (tokens < low, "too_short"),
         (tokens > high, "too_long"),
         (text.rlike("[<>{}]") | lower.contains("javascript:"), "markup"),
-        (text.rlike(r"(?i)https?://|www\.|[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"), "url_or_email"),
+        (address & text.rlike(r"(?i)https?://|www\.|[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"), "url_or_email"),
         (noise, "boilerplate"),
         (text.rlike(r"[\p{Cc}\p{Cf}&&[^\n\t]]"), "control_character"),
         (alnum < 0.6, "symbol_noise"),

@@ -31,14 +31,14 @@ def sentence_rows(docs: DataFrame) -> DataFrame:
 def judged_sentences(rows: DataFrame, languages: list[str] | None = None, min_confidence: float = 0.0, allow_mixed: bool = False, **policy) -> DataFrame:
     """rows with reason (the first rule that rejects a sentence, its language last) and content_hash."""
     # The normal form is a column of its own: inlined, every rule would compute it again.
-    normal = rows.withColumn("_normal", T.normalize_text(F.col("sentence_text")))
-    reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), **policy)
+    normal = rows.withColumn("_normal", T.normalize_text(F.col("sentence_text"))).withColumn("_tokens", T.token_count(F.col("_normal")))
+    reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), tokens=F.col("_tokens"), **policy)
     judged = normal.withColumn("reason", reason)
     if languages is not None:
         judged = judged.withColumn("_language", L.detect(F.col("_normal"), min_confidence))
         good = L.accepted(F.col("_language.label"), F.col("_language.confidence"), F.array(*map(F.lit, languages)), F.lit(min_confidence), F.lit(allow_mixed))
         judged = judged.withColumn("reason", F.when((F.col("reason") == "accepted") & ~good, "language").otherwise(F.col("reason"))).drop("_language")
-    return judged.drop("_normal").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
+    return judged.drop("_normal", "_tokens").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
 
 
 def deduplicated(judged: DataFrame, *by: str) -> DataFrame:
@@ -51,12 +51,12 @@ def deduplicated(judged: DataFrame, *by: str) -> DataFrame:
     good = F.col("reason") == "accepted"
     # Rejected sentences have keys of their own.
     key = F.when(good, F.concat_ws("|", *by, "content_hash")).otherwise(F.concat_ws(":", *by, "doc_id", "sentence_index"))
-    document = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    dealt = judged.withColumn("_key", key).withColumn("_doc", document(F.col("doc_id"))).repartition("_key", "_doc")
+    kind = dict(judged.dtypes)["doc_id"]
+    document = F.coalesce("doc_id", F.lit("")) if kind == "string" else F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+    dealt = judged.withColumn("_key", key).withColumn("_doc", document).repartition("_key", "_doc")
     own = F.row_number().over(Window.partitionBy("_key", "_doc").orderBy("sentence_index"))
-    # All columns are named, so that both sides read one exchange.
-    rest = [c for c in dealt.columns if c not in ("_key", "doc_id", "sentence_index")]
-    first = dealt.groupBy("_key").agg(F.min(F.struct("doc_id", "sentence_index", *rest)).alias("m")).select(F.col("_key").alias("_k"), document(F.col("m.doc_id")).alias("_d"))
+    # The columns that any outcome needs are named here too, so that counts of outcomes read one exchange twice.
+    first = dealt.groupBy("_key").agg(F.min(F.struct("_doc", "sentence_index", "reason", *by)).alias("m")).select(F.col("_key").alias("_k"), F.col("m._doc").alias("_d"))
     ranked = dealt.withColumn("_own", own).join(first, (F.col("_key") == F.col("_k")) & (F.col("_doc") == F.col("_d")), "left")
     outcome = F.when(~good, F.col("reason")).when(F.col("_own") > 1, "duplicate_batch").when(F.col("_k").isNull(), "duplicate_db").otherwise("accepted")
     return ranked.withColumn("outcome", outcome).drop("_key", "_doc", "_own", "_k", "_d")
@@ -74,9 +74,9 @@ def policy_totals(rows: DataFrame, profiles: dict[str, tuple]) -> DataFrame:
     """
     table = F.array(*[F.struct(F.lit(n).alias("profile"), *(F.lit(v).alias(k) for k, v in zip(("low", "high", "quotes", "headlines", "least"), p, strict=True))) for n, p in profiles.items()])
     normal = rows.select("doc_id", "sentence_index", "is_quote", T.content_hash(F.col("sentence_text")).alias("content_hash"), T.normalize_text(F.col("sentence_text")).alias("_normal"))
-    reasons = normal.withColumn("p", F.explode(table))
+    reasons = normal.withColumn("_tokens", T.token_count(F.col("_normal"))).withColumn("p", F.explode(table))
     limits = {k: F.col(f"p.{k}") for k in ("low", "high", "quotes", "headlines")}
-    judged = reasons.select("doc_id", "sentence_index", "content_hash", F.col("p.profile").alias("profile"), T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), least_score=F.col("p.least"), **limits).alias("reason"))
+    judged = reasons.select("doc_id", "sentence_index", "content_hash", F.col("p.profile").alias("profile"), T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), least_score=F.col("p.least"), tokens=F.col("_tokens"), **limits).alias("reason"))
     good = F.col("outcome") == "accepted"
     return deduplicated(judged, "profile").groupBy("profile").agg(F.count("*").alias("candidates"), F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"))
 
