@@ -48,7 +48,7 @@ def frugal(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
+def written(df: DataFrame, name: str = "table", **options: object) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends, and lost executors cost nothing.
 
     The table stands for the shuffles behind it, so their files go at once; otherwise they stay until the
@@ -57,7 +57,7 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}"
     with frugal(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     if (made := _MADE.get()) is not None:
         made.append((path, out))

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 LEVELS = 5
+#: So many queries are searched at once, so that their scores in a block take little memory.
+_AT_ONCE = 256
 _INDEX = "block int, ids binary, dims int, level array<int>, rows array<binary>, columns array<binary>, impacts array<binary>"
 
 
@@ -87,6 +89,11 @@ def _overflow():
     raise OverflowError("a score exceeds 64 bits")
 
 
+def _numbers(value: pa.Scalar, kind: str) -> np.ndarray:
+    """The numbers in a binary value, without a copy."""
+    return np.frombuffer(value.as_buffer(), kind)
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, segments: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Query positions, candidate positions and scores of each query's k best of one block; and the levels read."""
     whole, queries = queries, queries.astype(float)
@@ -133,7 +140,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     asked = written(usable(queries).dropDuplicates(["vec_id", "v"]), "queries")
     blocks = max(1, -(-candidates.count() // block_rows))
     query_blocks = max(1, -(-asked.count() // query_rows))
-    index = written(build_index(candidates, blocks), "index")
+    # Readers hold a file's blocks at once, so a file has few.
+    index = written(build_index(candidates, blocks), "index", maxRecordsPerFile=4)
 
     def bundle(table: pa.Table) -> pa.Table:
         x = _matrix(table.column("v").combine_chunks()).astype("<i8")
@@ -141,20 +149,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
         return pa.table({"query_block": pa.array([table.column("query_block")[0].as_py()], pa.int32()), "query_ids": [ids.tobytes()], "query_dims": pa.array([x.shape[1]], pa.int32()), "queries": [x.tobytes()]})
 
     bundles = asked.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).groupBy("query_block").applyInArrow(bundle, "query_block int, query_ids binary, query_dims int, queries binary")
-    # The stated query set against all rows, in blocks: each bundle of queries visits each block of the index.
-    visits = bundles.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(index, "block")
+    # A task reads some of these files whole; one bundle a file lets it take few.
+    bundles = written(bundles, "bundles", maxRecordsPerFile=1)
+    # The stated query set against all rows, in blocks: each bundle of queries visits each block of the index. Tasks read
+    # both from their files; a join on block numbers would shuffle all visits, or broadcast them through the driver,
+    # as Spark takes them to be as small as the file of the queries.
+    visits = index.crossJoin(bundles.hint("shuffle_replicate_nl"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                qd, d = r["query_dims"], r["dims"]
-                width = max(qd, d)
-                q = np.zeros((len(r["query_ids"]) // 8, width), np.int64)
-                q[:, :qd] = np.frombuffer(r["queries"], "<i8").reshape(-1, qd)
-                ids, query_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["query_ids"], "<i8")
-                segments = [tuple(np.frombuffer(b, kind) for b, kind in zip(s, ("<i4", "<i4", "<i8"), strict=True)) for s in zip(r["rows"], r["columns"], r["impacts"], strict=True)]
-                q_at, c_at, score, _ = search_block(q, query_ids, ids, segments, k)
-                yield pa.RecordBatch.from_arrays([pa.array(query_ids[q_at]), pa.array(ids[c_at]), pa.array(score)], names=["query_id", "vec_id", "score"])
+            for i in range(batch.num_rows):
+                r = {name: column[i] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                qd, d = r["query_dims"].as_py(), r["dims"].as_py()
+                ids, query_ids = _numbers(r["ids"], "<i8"), _numbers(r["query_ids"], "<i8")
+                q = np.zeros((len(query_ids), max(qd, d)), np.int64)
+                q[:, :qd] = _numbers(r["queries"], "<i8").reshape(-1, qd)
+                segments = [tuple(_numbers(b, kind) for b, kind in zip(s, ("<i4", "<i4", "<i8"), strict=True)) for s in zip(r["rows"].values, r["columns"].values, r["impacts"].values, strict=True)]
+                for at in range(0, len(q), _AT_ONCE):
+                    some = query_ids[at : at + _AT_ONCE]
+                    q_at, c_at, score, _ = search_block(q[at : at + _AT_ONCE], some, ids, segments, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(some[q_at]), pa.array(ids[c_at]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     found = visits.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -113,6 +113,25 @@ def test_top_k_of_large_components_and_odd_rows(spark):
         topk.top_k(huge, huge, 1).collect()
 
 
+def test_top_k_sends_no_visits_to_the_driver(spark):
+    """300 blocks, each visited by 6 queries of 16 components: 230 kB of visits, from queries of 1 kB."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(0, 0.2, (300, 16)))], "vec_id bigint, embedding array<double>")
+    q = np.floor(256 * np.array([r.embedding for r in df.orderBy("vec_id").collect()])).astype(int)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "64k")
+    try:
+        found = topk.top_k(df, df.where("vec_id % 50 = 0"), 5, block_rows=1, query_rows=3)
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    for i in range(0, 300, 50):
+        best = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:5]
+        assert [got[i, k + 1] for k in range(5)] == [(j, -s) for s, j in best]
+    assert len(got) == 30
+
+
 def brute_licenses(text):
     import re
 
