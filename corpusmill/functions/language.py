@@ -16,11 +16,10 @@ FILIPINO = "ang ng mga sa na ay at si ni kay kina sina nina ito iyon iyan dito d
 ENGLISH = "the of and to in is was were are be been it that this these those he she they we you his her their our with for from by on as has have had not but or if because when while which who will would can could should there than then into about after before".split()
 
 
-def scores(text: Column) -> tuple[Column, Column]:
-    """How many words of a text are Filipino and English function words."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    count = lambda known: F.regexp_count(lower, F.lit(rf"(?U)\b(?:{'|'.join(known)})\b"))
-    return count(FILIPINO), count(ENGLISH)
+def scores(text: Column) -> Column:
+    """struct<f, e>: how many words of a text are Filipino and English function words. The words are cut once for both."""
+    count = lambda words, known: F.size(F.filter(words, lambda w: w.isin(known)))
+    return let(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\W+"), lambda w: F.struct(count(w, FILIPINO).alias("f"), count(w, ENGLISH).alias("e")))
 
 
 def detect(text: Column, min_confidence: float = 0.0, classify_mixed: bool = True) -> Column:
@@ -28,7 +27,7 @@ def detect(text: Column, min_confidence: float = 0.0, classify_mixed: bool = Tru
     def judged(n: Column) -> Column:
         return _judged(text, n["f"], n["e"], min_confidence, classify_mixed)
 
-    return let(F.struct(*[c.alias(k) for c, k in zip(scores(text), "fe", strict=True)]), judged)
+    return let(scores(text), judged)
 
 
 def _judged(text: Column, filipino: Column, english: Column, min_confidence: float, classify_mixed: bool) -> Column:

@@ -30,33 +30,43 @@ def sentence_rows(docs: DataFrame) -> DataFrame:
 
 def judged_sentences(rows: DataFrame, languages: list[str] | None = None, min_confidence: float = 0.0, allow_mixed: bool = False, **policy) -> DataFrame:
     """rows with reason (the first rule that rejects a sentence, its language last) and content_hash."""
-    # The normal form is a column of its own: inlined, every rule would compute it again.
-    normal = rows.withColumn("_normal", T.normalize_text(F.col("sentence_text"))).withColumn("_tokens", T.token_count(F.col("_normal")))
-    reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), tokens=F.col("_tokens"), **policy)
+    normal = _normalized(rows)
+    reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), tokens=F.col("_tokens"), lower=F.col("_lower"), **policy)
     judged = normal.withColumn("reason", reason)
     if languages is not None:
         judged = judged.withColumn("_language", L.detect(F.col("_normal"), min_confidence))
         good = L.accepted(F.col("_language.label"), F.col("_language.confidence"), F.array(*map(F.lit, languages)), F.lit(min_confidence), F.lit(allow_mixed))
         judged = judged.withColumn("reason", F.when((F.col("reason") == "accepted") & ~good, "language").otherwise(F.col("reason"))).drop("_language")
-    return judged.drop("_normal", "_tokens").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
+    return judged.drop("_normal", "_lower", "_tokens").withColumn("content_hash", T.content_hash(F.col("sentence_text")))
 
 
-def deduplicated(judged: DataFrame, *by: str) -> DataFrame:
-    """judged with outcome: its reason, or duplicate_batch or duplicate_db, or accepted; separately for each value of by.
+def _normalized(rows: DataFrame) -> DataFrame:
+    """rows with _normal, _lower and _tokens, columns of their own: inlined, every rule would compute them again."""
+    return rows.withColumn("_normal", T.normalize_text(F.col("sentence_text"))).withColumn("_lower", F.lower("_normal")).withColumn("_tokens", T.normal_tokens(F.col("_normal")))
+
+
+def _document(rows: DataFrame) -> Column:
+    """doc_id in an order in which a missing one comes first."""
+    kind = dict(rows.dtypes)["doc_id"]
+    return F.coalesce("doc_id", F.lit("")) if kind == "string" else F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+
+
+def deduplicated(judged: DataFrame) -> DataFrame:
+    """judged with outcome: its reason, or duplicate_batch or duplicate_db, or accepted.
 
     A repeat within its document is a batch duplicate, a repeat of an earlier document a stored one. Rows are dealt
     by hash and document, so a sentence that many documents share is gathered by no task; its first document
     comes from a partial aggregate.
     """
     good = F.col("reason") == "accepted"
-    # Rejected sentences have keys of their own.
-    key = F.when(good, F.concat_ws("|", *by, "content_hash")).otherwise(F.concat_ws(":", *by, "doc_id", "sentence_index"))
-    kind = dict(judged.dtypes)["doc_id"]
-    document = F.coalesce("doc_id", F.lit("")) if kind == "string" else F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    dealt = judged.withColumn("_key", key).withColumn("_doc", document).repartition("_key", "_doc")
+    # Keys of rejected sentences are shorter than any hash, and only deal them out. A key is never null: for one that
+    # may be, the join below would judge each sentence in a filter before the exchange, and so need two exchanges.
+    key = F.coalesce(F.when(good, F.unhex("content_hash")).otherwise(F.col("sentence_index").cast("string").cast("binary")), F.lit(b""))
+    dealt = judged.withColumn("_key", key).withColumn("_doc", _document(judged)).repartition("_key", "_doc")
     own = F.row_number().over(Window.partitionBy("_key", "_doc").orderBy("sentence_index"))
-    # The columns that any outcome needs are named here too, so that counts of outcomes read one exchange twice.
-    first = dealt.groupBy("_key").agg(F.min(F.struct("_doc", "sentence_index", "reason", *by)).alias("m")).select(F.col("_key").alias("_k"), F.col("m._doc").alias("_d"))
+    # All columns are named here too, so that one exchange is read twice: else each sentence would be cut and judged again.
+    named = F.max(F.hash(*judged.columns))
+    first = dealt.groupBy("_key").agg(F.min("_doc").alias("_d"), named.alias("_any")).select(F.col("_key").alias("_k"), F.when(F.col("_any").isNotNull(), F.col("_d")).alias("_d"))
     ranked = dealt.withColumn("_own", own).join(first, (F.col("_key") == F.col("_k")) & (F.col("_doc") == F.col("_d")), "left")
     outcome = F.when(~good, F.col("reason")).when(F.col("_own") > 1, "duplicate_batch").when(F.col("_k").isNull(), "duplicate_db").otherwise("accepted")
     return ranked.withColumn("outcome", outcome).drop("_key", "_doc", "_own", "_k", "_d")
@@ -67,18 +77,38 @@ def sentence_outcomes(rows: DataFrame, **policy) -> DataFrame:
     return deduplicated(judged_sentences(rows, **policy))
 
 
+def outcome_counts(judged: DataFrame) -> DataFrame:
+    """outcome and n of judged sentences, as deduplicated tells outcomes; no sentence is sorted or joined.
+
+    Of a hash's n sentences in d documents one is accepted, d - 1 are known from another document and n - d repeat
+    one of their own document.
+    """
+    good = F.col("reason") == "accepted"
+    own = judged.groupBy("reason", F.when(good, F.unhex("content_hash")).alias("_key"), F.when(good, _document(judged)).alias("_doc")).agg(F.count("*").alias("n"))
+    each = own.groupBy("reason", "_key").agg(F.sum("n").alias("n"), F.count("*").alias("d"))
+    part = lambda o, n: F.struct(o.alias("outcome"), n.alias("n"))
+    parts = F.when(good, F.array(part(F.lit("accepted"), F.lit(1).cast("bigint")), part(F.lit("duplicate_db"), F.col("d") - 1), part(F.lit("duplicate_batch"), F.col("n") - F.col("d")))).otherwise(F.array(part(F.col("reason"), F.col("n"))))
+    return each.select(F.inline(parts)).where("n > 0").groupBy("outcome").agg(F.sum("n").alias("n"))
+
+
 def policy_totals(rows: DataFrame, profiles: dict[str, tuple]) -> DataFrame:
     """profile, candidates, accepted and rejected; profiles: least and most tokens, quotes, headlines, least score.
 
-    Sentences are cut and normalised once and judged for every profile.
+    Sentences are cut, normalised and judged once, by the rules without a limit; a profile rejects more by its
+    limits. Of the sentences of one hash that a profile lets through the first is accepted, so their number is that of
+    the hashes, and a row for each hash holds every profile's answer.
     """
-    table = F.array(*[F.struct(F.lit(n).alias("profile"), *(F.lit(v).alias(k) for k, v in zip(("low", "high", "quotes", "headlines", "least"), p, strict=True))) for n, p in profiles.items()])
-    normal = rows.select("doc_id", "sentence_index", "is_quote", T.content_hash(F.col("sentence_text")).alias("content_hash"), T.normalize_text(F.col("sentence_text")).alias("_normal"))
-    reasons = normal.withColumn("_tokens", T.token_count(F.col("_normal"))).withColumn("p", F.explode(table))
-    limits = {k: F.col(f"p.{k}") for k in ("low", "high", "quotes", "headlines")}
-    judged = reasons.select("doc_id", "sentence_index", "content_hash", F.col("p.profile").alias("profile"), T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), least_score=F.col("p.least"), tokens=F.col("_tokens"), **limits).alias("reason"))
-    good = F.col("outcome") == "accepted"
-    return deduplicated(judged, "profile").groupBy("profile").agg(F.count("*").alias("candidates"), F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"))
+    normal = _normalized(rows.select("is_quote", "sentence_text"))
+    bare = T.quality_reason(F.col("_normal"), low=0, high=(1 << 31) - 1, quotes=True, headlines=True, tokens=F.col("_tokens"), lower=F.col("_lower")) == "accepted"
+    n = F.col("_tokens")
+    fits = [(n >= low) & (n <= high) & (F.lit(quotes) | ~F.coalesce("is_quote", F.lit(False))) & F.lit(least <= 1.0) for low, high, quotes, _, least in profiles.values()]
+    flags = [f"_p{i}" for i in range(len(fits))]
+    wanted = normal.select("sentence_text", F.when(bare, F.array(*fits)).otherwise(F.array(*[F.lit(False)] * len(fits))).alias("_fits"))
+    key = F.when(F.array_contains("_fits", True), F.unhex(T.content_hash(F.col("sentence_text"))))
+    each = wanted.select(key.alias("_key"), *[F.col("_fits")[i].alias(f) for i, f in enumerate(flags)]).groupBy("_key").agg(F.count("*").alias("n"), *[F.max(f).cast("bigint").alias(f) for f in flags])
+    totals = each.agg(F.sum("n").alias("candidates"), *[F.sum(f).alias(f) for f in flags]).where("candidates > 0")
+    rows = F.inline(F.array(*[F.struct(F.lit(p).alias("profile"), "candidates", F.col(f).alias("accepted"), (F.col("candidates") - F.col(f)).alias("rejected")) for p, f in zip(profiles, flags, strict=True)]))
+    return totals.select(rows)
 
 
 def reconcile(candidates: DataFrame, stored: DataFrame) -> DataFrame:
