@@ -111,7 +111,8 @@ def outcomes_sql(low: str, high: str, quotes: str, least: str, profiles: str, by
 
 @query(f"SELECT doc_id, sentence_index, reason, outcome, content_hash FROM {outcomes_sql('5', '80', 'FALSE', '0', '', '')}")
 def sentence_dedup_outcome(spark, d):
-    return O.sentence_outcomes(sentence_segments(spark, d)).select("doc_id", "sentence_index", "reason", "outcome", "content_hash")
+    judged = O.judged_sentences(sentence_segments(spark, d)).select("doc_id", "sentence_index", "reason", "content_hash")
+    return O.deduplicated(judged).select("doc_id", "sentence_index", "reason", "outcome", "content_hash")
 
 
 @query(f"SELECT outcome, count(*) AS n FROM ({SQL['sentence_dedup_outcome']}) GROUP BY 1")

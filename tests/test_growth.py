@@ -31,6 +31,12 @@ def test_policy_totals_need_no_row_for_each_profile_and_sentence(spark):
     assert O.policy_totals(rows, {"a": (3, 100, False, False, 0.0)}).first().accepted == 1
 
 
+def test_sentences_are_judged_once_for_their_outcomes(spark):
+    judged = O.judged_sentences(O.sentence_rows(documents(spark))).select("doc_id", "sentence_index", "reason", "content_hash")
+    final = executed(O.deduplicated(judged)).split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("Scan ExistingRDD") == 1
+
+
 def test_cheaper_patterns_give_the_same(spark):
     odd = ["a  b", "a b", " a  \t b ", "a\n\n b", "a \n b\u0085c", " ", "", None, "x­ ", "a\tb", "A　 　B", "x  "]
     rows = spark.createDataFrame([(t,) for t in odd], "c string")
