@@ -34,7 +34,8 @@ def judged_sentences(rows: DataFrame, languages: list[str] | None = None, min_co
     reason = T.quality_reason(F.col("_normal"), quote=F.col("is_quote"), tokens=F.col("_tokens"), lower=F.col("_lower"), **policy)
     judged = normal.withColumn("reason", reason)
     if languages is not None:
-        judged = judged.withColumn("_language", L.detect(F.col("_normal"), min_confidence))
+        # Only a sentence that the other rules accept needs one.
+        judged = judged.withColumn("_language", F.when(F.col("reason") == "accepted", L.detect(F.col("_normal"), min_confidence)))
         good = L.accepted(F.col("_language.label"), F.col("_language.confidence"), F.array(*map(F.lit, languages)), F.lit(min_confidence), F.lit(allow_mixed))
         judged = judged.withColumn("reason", F.when((F.col("reason") == "accepted") & ~good, "language").otherwise(F.col("reason"))).drop("_language")
     return judged.drop("_normal", "_lower", "_tokens").withColumn("content_hash", T.content_hash(F.col("sentence_text")))

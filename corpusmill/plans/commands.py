@@ -124,10 +124,15 @@ def crawl(fetched: DataFrame, sources: DataFrame, articles: DataFrame, cutoff: C
 
 def rejections(sentences: DataFrame) -> DataFrame:
     """total_candidates and how many sentences each leg rejected: quality, quote, headline, language, duplicates."""
-    o = F.col("outcome")
+    return rejection_legs(sentences.groupBy("outcome").agg(F.count("*").alias("n")))
+
+
+def rejection_legs(counts: DataFrame) -> DataFrame:
+    """As rejections, of the outcomes' counts (outcome, n)."""
+    o, n = F.col("outcome"), lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0).cast("bigint"))
     own = {"quote": "quote_excluded", "headline": "headline_excluded", "language": "language", "duplicate_batch": "duplicate_batch", "duplicate_db": "duplicate_db"}
-    legs = [F.count_if(o == v).alias(k) for k, v in own.items()]
-    return sentences.agg(F.count("*").alias("total_candidates"), F.count_if(~o.isin("accepted", *own.values())).alias("quality"), *legs, F.count_if(o == "accepted").alias("accepted"))
+    legs = [n(o == v).alias(k) for k, v in own.items()]
+    return counts.agg(n(F.lit(True)).alias("total_candidates"), n(~o.isin("accepted", *own.values())).alias("quality"), *legs, n(o == "accepted").alias("accepted"))
 
 
 def export(spark: SparkSession, tables: dict[str, DataFrame], path: str, kind: str = "jsonl", start=None, end=None, source: str | None = None, append: bool = False) -> None:

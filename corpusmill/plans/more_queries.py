@@ -259,7 +259,7 @@ def evaluate_policy(spark, d):
 
 @query()
 def rejection_legs(spark, d):
-    return commands.rejections(O.sentence_outcomes(O.sentence_rows(table(spark, d, "documents")), languages=["OTHER"]))
+    return commands.rejection_legs(O.outcome_counts(O.judged_sentences(O.sentence_rows(table(spark, d, "documents")), languages=["OTHER"])))
 
 
 @query()
