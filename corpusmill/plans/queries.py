@@ -117,7 +117,7 @@ def sentence_dedup_outcome(spark, d):
 
 @query(f"SELECT outcome, count(*) AS n FROM ({SQL['sentence_dedup_outcome']}) GROUP BY 1")
 def rejection_breakdown(spark, d):
-    return sentence_dedup_outcome(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
+    return O.outcome_counts(O.judged_sentences(sentence_segments(spark, d)))
 
 
 _PROFILE_ROWS = ", (VALUES " + ", ".join(f"('{n}', {low}, {high}, {q}, {least})" for n, (low, high, q, _, least) in PROFILES.items()) + ") AS f(profile, low, high, quotes, least)"

@@ -1,11 +1,15 @@
 """What keeps the work of large inputs in proportion: steps that are run once, and small batches."""
 
+import gc
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusmill.functions import language as L
 from corpusmill.functions import text as T
 from corpusmill.operators import corpus as O
 from corpusmill.plans import commands
+from corpusmill.sources import html
 
 TEXT = "Ang aso ay nasa bahay na ngayon. Ang aso ay nasa bahay na ngayon. Oo. “Halika na rito ngayon po.” Ang pusa at ibon ay nasa bahay {}. See all <b> of the men here."
 
@@ -37,6 +41,16 @@ def test_sentences_are_judged_once_for_their_outcomes(spark):
     assert "ReusedExchange" in final and final.count("Scan ExistingRDD") == 1
 
 
+def test_outcome_counts_agree_with_outcomes(spark):
+    judged = O.judged_sentences(O.sentence_rows(documents(spark)), languages=["FILIPINO"])
+    want = {r.outcome: r["count"] for r in O.deduplicated(judged).groupBy("outcome").count().collect()}
+    counts = O.outcome_counts(judged)
+    assert {r.outcome: r.n for r in counts.collect()} == want and {"accepted", "duplicate_batch", "duplicate_db", "too_short", "quote_excluded", "markup"} <= set(want)
+    assert not any(x in plan(counts) for x in ("Window", "Join"))
+    assert commands.rejection_legs(counts).first() == commands.rejections(O.deduplicated(judged)).first()
+    assert commands.rejections(O.deduplicated(judged.where("false"))).first().total_candidates == 0
+
+
 def test_cheaper_patterns_give_the_same(spark):
     odd = ["a  b", "a b", " a  \t b ", "a\n\n b", "a \n b\u0085c", " ", "", None, "x­ ", "a\tb", "A　 　B", "x  "]
     rows = spark.createDataFrame([(t,) for t in odd], "c string")
@@ -49,3 +63,19 @@ def test_cheaper_patterns_give_the_same(spark):
     assert all(r.n and r.h and r.t for r in got)
     words = spark.createDataFrame([("Ang mga_tao, ng the-of; hindi ñang anǵ ANG",), (None,), ("",)], "c string").select(L.scores(F.col("c")).alias("x")).collect()
     assert [tuple(r.x) for r in words] == [(4, 2), (0, 0), (0, 0)]
+
+
+def test_pages_are_held_in_small_slices_and_trees_freed():
+    gc.collect()
+    gc.disable()
+    try:
+        got = html.extract("<html><body><p>" + "<b>x</b>" * 50 + "<a href='/y'>z</a></p></body></html>", "http://a.com/")
+        left = [x for x in gc.get_objects() if isinstance(x, html.Node)]
+    finally:
+        gc.enable()
+    assert not left and got["links"][0]["href"] == "http://a.com/y"
+    texts = ["a" * 300_000, "b" * 300_000, None, "c" * 900_000, "", "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["html"])
+    cut = [x.column("html").to_pylist() for x in html.slices(iter([batch]))]
+    assert [len(x) for x in cut] == [1, 2, 1, 2]
+    assert [t for x in cut for t in x] == texts
